@@ -8,6 +8,10 @@ order of the records.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -31,42 +35,51 @@ METADATA = (
 )
 
 
-def _text(spark: SparkSession, path: str, layout: str, glob: str | None = None) -> DataFrame:
+def _text(spark: SparkSession, path: str, layout: str) -> DataFrame:
     reader = spark.read.option("wholetext", layout == "document")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     return reader.text(path).select(
-        "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_start"),
+        "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start")
     )
 
 
+def _named_text(spark: SparkSession, folder: str, names: Iterable[str], layout: str) -> DataFrame:
+    """Text of those of the named files, or folders of part files, that exist; ``_name`` tells which."""
+    names = sorted(set(names))
+    try:
+        text = _text(spark, f"{folder}/{{{','.join(names)}}}", layout)
+    except AnalysisException:  # none exists
+        text = spark.createDataFrame([], "value string, _path string, _start long")
+    known = "|".join(re.escape(n) for n in names)
+    return text.withColumn("_name", F.regexp_extract("_path", rf"/({known})(?:/[^/]*)?$", 1))
+
+
 def _records(lines: DataFrame, layout: str) -> DataFrame:
     """Raw JSON text of each record, in order inside its split.
 
     A line holds a record, or an array of records; lines with only a bracket are skipped.
     """
-    value = F.regexp_replace("value", r"^[\s﻿]+|[\s,]+$", "")
+    value = F.regexp_replace("value", r"^[\s\uFEFF]+|[\s,]+$", "")
     many = F.from_json(value, "array<string>")
     if layout == "document":
         records = F.when(F.startswith(value, F.lit("[")), many)
     else:
         records = F.when(F.startswith(value, F.lit("[")), many).when(F.startswith(value, F.lit("{")), F.array(value))
-    return lines.select("_path", "_file", "_start", F.explode(records).alias("record"))
+    keep = [c for c in lines.columns if c != "value"]
+    return lines.select(*keep, F.explode(records).alias("record"))
 
 
-def _in_file_order(df: DataFrame, out: str = "seq", per_file: bool = False) -> DataFrame:
-    """Number rows as they stand in the files.
+def _in_file_order(df: DataFrame, out: str = "seq", per: Sequence[str] = ()) -> DataFrame:
+    """Number rows as they stand in the files, from 0 for each value of ``per``.
 
     Rows of one split are contiguous, so the row ids, once written, differ from the place in
     the split by a constant. Offsets have one row per split of the input.
     """
     written = durable(df.withColumn("_at", F.monotonically_increasing_id()), "read")
-    splits = written.groupBy("_path", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
-    along = W.partitionBy("_path") if per_file else W.partitionBy()
-    earlier = along.orderBy("_path", "_start").rowsBetween(W.unboundedPreceding, -1)
-    offsets = splits.select("_path", "_start", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_off"))
-    return written.join(F.broadcast(offsets), ["_path", "_start"]).withColumn(out, F.col("_at") + F.col("_off")).drop(
+    split = [*per, "_path", "_start"]
+    splits = written.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    earlier = W.partitionBy(*per).orderBy("_path", "_start").rowsBetween(W.unboundedPreceding, -1)
+    offsets = splits.select(*split, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_off"))
+    return written.join(F.broadcast(offsets), split).withColumn(out, F.col("_at") + F.col("_off")).drop(
         "_at", "_off", "_path", "_start"
     )
 
@@ -95,18 +108,15 @@ def read_corpora(spark: SparkSession, folder: str, files: dict[str, str] | None
     are left out. ``rank`` gives the order of the corpora, ``item`` the order inside one.
     """
     files = CORPUS_FILES if files is None else files
-    label, rank = F.lit(None).cast("string"), F.lit(None).cast("int")
-    for i, (name, corpus) in enumerate(files.items()):
-        label = F.when(F.col("_file") == name, F.lit(corpus)).otherwise(label)
-        rank = F.when(F.col("_file") == name, F.lit(i)).otherwise(rank)
+    rank = _lookup(F.col("_name"), {name: str(i) for i, name in enumerate(files)}).cast("int")
     listed = F.get_json_object("record", "$.conversations")
     rows = (
-        _records(_text(spark, folder, layout, "{" + ",".join(files) + "}"), layout)
-        .select("_path", "_start", label.alias("corpus"), rank.alias("rank"), listed.alias("listed"))
+        _records(_named_text(spark, folder, files, layout), layout)
+        .select("_path", "_start", _lookup(F.col("_name"), files).alias("corpus"), rank.alias("rank"), listed.alias("listed"))
         .filter(F.startswith("listed", F.lit("[")))
         .select("_path", "_start", "corpus", "rank", F.from_json("listed", MESSAGES).alias("messages"))
     )
-    return _in_file_order(rows, "item", per_file=True).select(
+    return _in_file_order(rows, "item", per=["corpus"]).select(
         "corpus", "rank", "item", F.size("messages").cast("long").alias("n_msgs"), "messages"
     )
 
@@ -153,11 +163,10 @@ def read_prompts(
     ``fallback`` maps a name to the name whose text it takes when its own is empty;
     ``append`` adds text to a prompt that is not empty.
     """
-    glob = "{" + ",".join(sorted(set(names.values()))) + "}"
-    files = _text(spark, folder, "document", glob).select("_file", "value")
+    files = _named_text(spark, folder, names.values(), "document").select("_name", "value")
     # a handful of names, one row each
-    wanted = spark.createDataFrame(list(names.items()), "name string, _file string")
-    loaded = wanted.join(files, "_file", "left").select("name", F.coalesce("value", F.lit("")).alias("text"))
+    wanted = spark.createDataFrame(list(names.items()), "name string, _name string")
+    loaded = wanted.join(files, "_name", "left").select("name", F.coalesce("value", F.lit("")).alias("text"))
     other = loaded.select(F.col("name").alias("_other"), F.col("text").alias("_other_text"))
     picked = (
         loaded.withColumn("_other", _lookup(F.col("name"), fallback or {}))
