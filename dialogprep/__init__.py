@@ -1 +1,8 @@
 """Conversation data preparation on Spark: read, clean, replay, mix, pack and encode dialogue tables."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so workers need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

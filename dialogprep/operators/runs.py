@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window as W
 
 from dialogprep.operators.order import BLOCK_ROWS, ordered_index, scan
@@ -134,7 +135,7 @@ def generate(
     gives an empty text.
     """
     source = requests.repartition(concurrency) if concurrency else requests
-    schema = source.schema.add(out, "string")
+    schema = StructType([*source.schema.fields, StructField(out, StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ask = client()
