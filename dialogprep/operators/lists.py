@@ -147,21 +147,24 @@ def replay_lists(ops: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         "list_key", "seq", "op", F.coalesce("index", F.lit(0)).cast("long").alias("index"),
         F.expr(f"seq div {block_rows}").alias("block"),
     )
-    # lists on both sides of a block boundary: at most one per block
+    # Stretches of lists that cross a block boundary, at most two a block. A list is contiguous,
+    # so each block it reaches into touches one of its boundaries.
     at_edge = F.expr(f"seq % {block_rows} in (0, {block_rows - 1})")
     crossing = (
         ops.filter(at_edge)
         .groupBy(F.expr(f"(seq + 1) div {block_rows}").alias("edge"), "list_key")
         .agg(F.count_distinct("block").alias("sides"))
         .filter("sides > 1")
-        .select("list_key").distinct()
+        .select("list_key", F.explode(F.array(F.col("edge") - 1, F.col("edge"))).alias("block"))
+        .distinct()
     )
+    stretch = ["list_key", "block"]
     starts = (
-        ops.join(crossing, "list_key", "left_semi")
+        ops.join(crossing, stretch, "left_semi")
         .groupBy("block").applyInPandas(_summarise, "list_key string, block long, shift long, need array<long>")
         .groupBy("list_key").applyInPandas(_starting_lengths, "list_key string, block long, n_start long")
     )
-    known = ops.join(starts, ["list_key", "block"], "left").fillna(0, ["n_start"])
+    known = ops.join(starts, stretch, "left").fillna(0, ["n_start"])
     resolved = durable(
         known.groupBy("block").applyInPandas(
             _resolve,
@@ -170,9 +173,9 @@ def replay_lists(ops: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         "resolved",
     )
 
-    shared = resolved.join(crossing, "list_key", "left_semi")
+    shared = resolved.join(crossing, stretch, "left_semi")
     located = (
-        shared.groupBy("list_key", "block")
+        shared.groupBy(*stretch)
         .agg(
             F.array_sort(F.collect_list(F.when(F.col("hit_pos") > 0, F.col("hit_pos")))).alias("positions"),
             F.count(F.when(F.col("kept_rank") >= 0, 1)).alias("n_left"),

@@ -54,7 +54,8 @@ def mix_weights(sizes: DataFrame, weights: dict[str, float] | None = None) -> Da
 def mix_quota(sizes: DataFrame, target_megachats: int, mega_size: int, weights: dict[str, float] | None = None) -> DataFrame:
     """Add ``quota``: the truncated product of pool size and weight. Empty sources give nothing."""
     total = target_megachats * mega_size
-    return mix_weights(sizes.filter("n_source > 0"), weights).withColumn(
+    known = F.col("source").isin(*WEIGHT_FALLBACK)
+    return mix_weights(sizes.filter((F.col("n_source") > 0) & known), weights).withColumn(
         "quota", F.floor(F.lit(total).cast("double") * F.col("weight"))
     )
 
@@ -62,7 +63,7 @@ def mix_quota(sizes: DataFrame, target_megachats: int, mega_size: int, weights:
 def _indexed(keys: DataFrame, quota: DataFrame, seed: int) -> DataFrame:
     """Conversations with their seeded place inside the source, next to the source's quota."""
     placed = global_index(keys, seed, KEY, "slot", within=["source"])
-    return placed.join(F.broadcast(quota.select("source", "n_source", "quota")), "source")  # one row per source
+    return placed.join(F.broadcast(quota.select("source", "n_source", "quota")), "source")  # three sources at most
 
 
 def sample_exact(keys: DataFrame, quota: DataFrame, seed: int) -> DataFrame:

@@ -16,6 +16,7 @@ from dialogprep.functions.clock import iso_local, watch_text
 from dialogprep.functions.text import strip_ws
 from dialogprep.operators.lists import replay_lists
 from dialogprep.operators.order import BLOCK_ROWS, ordered_index, scan
+from dialogprep.session import durable
 
 # Wording of the outcome of each operation, by kind of entry.
 MESSAGES = {
@@ -180,10 +181,9 @@ def replay(
         numbered.filter("kind = 'reminder'").select("kind", "owner", "seq", "tool", "ts"), ["kind", "owner"], "seq",
         max_before={"_seen": stamp}, max_all={"_last_seen": stamp}, block_rows=block_rows,
     ).select("seq", "_seen", "_last_seen")
-    facts = (
-        numbered.join(results, "seq", "left").join(ids, "seq", "left").join(timed, "seq", "left")
-        .withColumn("entry_id", F.coalesce("entry_id", "_new_id"))
-    )
+    joined = numbered.join(results, "seq", "left").join(ids, "seq", "left").join(timed, "seq", "left")
+    # Entries, outcomes and listings all start from here, so the joins run once.
+    facts = durable(joined.withColumn("entry_id", F.coalesce("entry_id", "_new_id")).drop("_new_id"), "facts")
 
     removals = facts.filter("op = 'remove' and ok").select(
         F.col("target_seq").alias("seq"), F.col("seq").alias("gone_seq"), F.col("ts").alias("gone_ts"),

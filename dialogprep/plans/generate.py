@@ -39,9 +39,9 @@ class Generated:
 
 
 def _ask(df: DataFrame, client: Callable[[], Client], payload: Column, out: str, **options) -> DataFrame:
-    """One model call per row. The client gets the request messages as JSON text."""
+    """One model call per row, answered once and written. The client gets the messages as JSON text."""
     asked = df.withColumn("_prompt", F.to_json(payload))
-    return generate(asked, client, prompt="_prompt", out=out, **options).drop("_prompt")
+    return durable(generate(asked, client, prompt="_prompt", out=out, **options).drop("_prompt"), "asked")
 
 
 def _reply(
@@ -50,23 +50,20 @@ def _reply(
 ) -> tuple[DataFrame, DataFrame]:
     """Answers to ``(conv_id, turn, question)``: the model's reply, its tool calls, a continuation, a rewrite."""
     system = F.lit(prompts.assistant_system)
-    replies = durable(
-        _ask(questions, clients["assistant"], request_messages(system, F.col("question")), "reply", **options).filter("reply <> ''"),
-        "replies",
-    )
+    replies = _ask(questions, clients["assistant"], request_messages(system, F.col("question")), "reply", **options).filter("reply <> ''")
     calls = tool_calls(
         replies.select(F.lit(user_id).alias("user_id"), round_ts.alias("ts"), F.col("conv_id").alias("op_id"), F.col("reply").alias("content"))
     )
     done = replay(calls, state=entries, start_ids=last_ids)
     outcomes = with_recall_messages(done)
     results = tool_results_text(outcomes, ["op_id"], ["success", "message", "entry_id", "timestamp"])
-    joined = replies.join(results.withColumnRenamed("op_id", "conv_id"), "conv_id", "left")
+    joined = durable(replies.join(results.withColumnRenamed("op_id", "conv_id"), "conv_id", "left"), "called")
     called = joined.filter("tool_text is not null")
     continued = _ask(
         called, clients["assistant"], request_messages(system, F.col("question"), F.col("reply"), F.col("tool_text")), "more", **options
     ).withColumn("reply", splice(F.col("reply"), F.col("more"))).drop("more")
     answers = joined.filter("tool_text is null").unionByName(continued)
-    thought = answers.withColumn("_think", rewrite_source(F.col("reply")))
+    thought = answers.drop("tool_text").withColumn("_think", rewrite_source(F.col("reply")))
     request = F.concat(F.lit(prompts.rewrite_before), F.col("_think"), F.lit(prompts.rewrite_after))
     rewritten = _ask(
         thought.filter("_think is not null"), clients["rewriter"], request_messages(F.lit(prompts.rewriter_system), request), "_new", **options
@@ -74,7 +71,7 @@ def _reply(
     final = rewritten.select(
         "conv_id", "turn", assemble_reply(F.col("reply"), F.col("_new"), name, mantra).alias("content")
     )
-    return durable(final, "answers"), durable(done.entries, "entries")
+    return final, durable(done.entries, "entries")
 
 
 def generate_conversations(
@@ -94,10 +91,9 @@ def generate_conversations(
     tester_system = F.lit(prompts.tester_system)
     first = opening_prompt(seeds, prompts.tester_user, prompts.wording)
     asked = _ask(first, clients["tester"], request_messages(tester_system, F.col("prompt")), "q", **options)
-    question = durable(
-        asked.select("conv_id", "target", F.lit(0).cast("long").alias("turn"), strip_thinking(F.col("q")).alias("question")).filter("question <> ''"),
-        "questions",
-    )
+    question = asked.select(
+        "conv_id", "target", F.lit(0).cast("long").alias("turn"), strip_thinking(F.col("q")).alias("question")
+    ).filter("question <> ''")
     said = question.select("conv_id", "turn", F.lit("user").alias("role"), F.col("question").alias("content"))
     targets = question.select("conv_id", "target")
     for turn in range(1, max_messages, 2):
@@ -112,10 +108,9 @@ def generate_conversations(
         context = said.join(going.select("conv_id"), "conv_id", "left_semi")
         request = followup_prompt(context, prompts.tester_user, prompts.wording)
         asked = _ask(request, clients["tester"], request_messages(tester_system, F.col("prompt")), "q", **options)
-        question = durable(
+        question = (
             asked.select("conv_id", F.lit(turn + 1).cast("long").alias("turn"), strip_thinking(F.col("q")).alias("question"))
-            .filter("question <> ''").join(targets, "conv_id").select("conv_id", "target", "turn", "question"),
-            "questions",
+            .filter("question <> ''").join(targets, "conv_id").select("conv_id", "target", "turn", "question")
         )
         said = said.unionByName(question.select("conv_id", "turn", F.lit("user").alias("role"), F.col("question").alias("content")))
     lengths = said.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).join(targets, "conv_id").filter("n = target")

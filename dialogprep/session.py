@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -39,3 +40,11 @@ def durable(df: DataFrame, label: str = "step") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` with a broadcast hint if it is counted to have at most ``max_rows`` rows.
+
+    A larger one goes without the hint, and the join shuffles.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from dialogprep.session import durable
+from dialogprep.session import broadcast_small, durable
 
 MESSAGE = "struct<role:string,content:string>"
 MESSAGES = f"array<{MESSAGE}>"
@@ -29,6 +29,8 @@ CORPUS_FILES = {
     "topical_chat.json": "TopicalChat",
 }
 
+MAX_BROADCAST_SPLITS = 200_000
+
 METADATA = (
     "struct<dataset_name:string,version:string,created_by:string,description:string,"
     "tags:array<string>,license:string,num_examples:bigint>"
@@ -79,7 +81,7 @@ def _in_file_order(df: DataFrame, out: str = "seq", per: Sequence[str] = ()) ->
     splits = written.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     earlier = W.partitionBy(*per).orderBy("_path", "_start").rowsBetween(W.unboundedPreceding, -1)
     offsets = splits.select(*split, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_off"))
-    return written.join(F.broadcast(offsets), split).withColumn(out, F.col("_at") + F.col("_off")).drop(
+    return written.join(broadcast_small(offsets, MAX_BROADCAST_SPLITS), split).withColumn(out, F.col("_at") + F.col("_off")).drop(
         "_at", "_off", "_path", "_start"
     )
 
