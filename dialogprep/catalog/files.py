@@ -101,8 +101,8 @@ def read_fragments(spark, sf):
 
 
 @query("""select 'p' || i as name, case when i = 25 then b else coalesce(t, '') end || case when i = 3 then 'TOOLS' else '' end as text
-from (select i, case when n_name is not null then n_name || ': ' || n_regionkey end as t,
-        max(case when n_nationkey = 7 then n_name || ': ' || n_regionkey end) over () as b
+from (select i, case when n_name is not null then n_name || ': ' || n_regionkey || chr(10) end as t,
+        max(case when n_nationkey = 7 then n_name || ': ' || n_regionkey || chr(10) end) over () as b
       from range(27) r(i) left join nation on n_nationkey = i)""")
 def read_prompts(spark, sf):
     folder = scratch_path(spark, "prompts")

@@ -20,21 +20,24 @@ def tool_calls(df: DataFrame, content: str = "content", first_only: bool = True,
     ``call_pos``. ``first_only`` keeps the first string of a list argument and drops the rest.
     """
     keep = [c for c in df.columns if c != content]
-    call, tool = F.col("call"), F.col("tool")
-    rows = df.select(*keep, F.posexplode(T.extract_tool_calls(F.col(content))).alias("call_pos", "call"))
-    rows = rows.withColumn("tool", T.classify_tool(call, strict)).filter("tool is not null")
+    call, tool = F.col("_call.call"), F.col("_call.tool")
+    # Classification and parsing sit inside generators: a filter on a generator's output is not
+    # pushed through it, so each expression runs once per call.
+    named = F.transform(
+        T.extract_tool_calls(F.col(content)), lambda c: F.struct(c.alias("call"), T.classify_tool(c, strict).alias("tool"))
+    )
+    rows = df.select(*keep, F.posexplode(named).alias("call_pos", "_call")).filter(tool.isNotNull())
     texts = F.when(tool.isin(*ADDS_TEXT), T.list_args(call))
     if first_only:
         texts = F.slice(texts, 1, 1)
-    parsed = rows.select(
-        *keep,
-        F.col("call_pos").cast("long").alias("call_pos"),
-        "tool",
+    args = F.struct(
         texts.alias("_texts"),
         F.when(tool.isin(*BY_INDEX), T.index_arg(call)).alias("index_arg"),
         F.when(tool == "add_reminder", T.string_arg(call, "subject")).alias("subject"),
         F.when(tool == "add_reminder", T.string_arg(call, "reminder_text")).alias("body"),
     )
+    parsed = rows.select(*keep, F.col("call_pos").cast("long").alias("call_pos"), tool.alias("tool"), F.inline(F.array(args)))
+    tool = F.col("tool")
     valid = (
         F.when(tool.isin(*ADDS_TEXT), F.coalesce(F.size("_texts"), F.lit(0)) > 0)
         .when(tool.isin(*BY_INDEX), F.col("index_arg").isNotNull())

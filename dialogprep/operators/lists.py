@@ -22,9 +22,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialogprep.operators.order import BLOCK_ROWS
 from dialogprep.session import durable
 
+LIST_BLOCK_ROWS = 16_384
+
 
 def _nth_free(taken: list[int], n: int) -> int:
     """The n-th positive integer that is not in the sorted list ``taken``."""
@@ -136,7 +137,7 @@ def _locate(pdf: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def replay_lists(ops: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def replay_lists(ops: DataFrame, block_rows: int = LIST_BLOCK_ROWS) -> DataFrame:
     """Outcome of each operation: ``(seq, ok, target_seq, n_after)``.
 
     ``ops`` is ``(list_key, seq, op, index)`` with ``seq`` dense and grouped by list, ``op``

@@ -14,7 +14,7 @@ from pyspark.sql.window import Window as W
 
 from dialogprep.functions.clock import iso_local, watch_text
 from dialogprep.functions.text import strip_ws
-from dialogprep.operators.lists import replay_lists
+from dialogprep.operators.lists import LIST_BLOCK_ROWS, replay_lists
 from dialogprep.operators.order import BLOCK_ROWS, ordered_index, scan
 from dialogprep.session import durable
 
@@ -125,7 +125,7 @@ def after_last_reset(ops: DataFrame, tool: str = "tool") -> DataFrame:
 
 def replay(
     calls: DataFrame, state: DataFrame | None = None, diary_owner: str | None = None, start_ids: dict[str, int] | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = LIST_BLOCK_ROWS,
 ) -> Replayed:
     """Run a log of calls ``(user_id, ts, op_id, call_pos, item_pos, tool, text_arg, index_arg, subject, body)``.
 
@@ -137,6 +137,8 @@ def replay(
     owner = F.when(kind == "diary", F.col(diary_owner).cast("string") if diary_owner else F.lit("")).otherwise(
         F.col("user_id").cast("string")
     )
+    # The range exchange below reads its input twice, once to sample it; calls may be costly to parse.
+    calls = durable(calls, "calls")
     ops = calls.select(
         "user_id", *_CALL_ORDER, "tool", "text_arg", "index_arg",
         strip_ws(F.col("subject")).alias("subject"), strip_ws(F.col("body")).alias("body"),

@@ -38,8 +38,7 @@ METADATA = (
 
 
 def _text(spark: SparkSession, path: str, layout: str) -> DataFrame:
-    reader = spark.read.option("wholetext", layout == "document")
-    return reader.text(path).select(
+    return spark.read.text(path, wholetext=layout == "document").select(
         "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start")
     )
 
