@@ -123,6 +123,13 @@ def after_last_reset(ops: DataFrame, tool: str = "tool") -> DataFrame:
     )
 
 
+def list_of_call(diary_owner: str | None = None) -> tuple[Column, Column]:
+    """Kind and owner of the list that a call works on; the kind is null for other calls."""
+    kind = _choose("tool", 0)
+    pages = F.col(diary_owner).cast("string") if diary_owner else F.lit("")
+    return kind, F.when(kind == "diary", pages).otherwise(F.col("user_id").cast("string"))
+
+
 def replay(
     calls: DataFrame, state: DataFrame | None = None, diary_owner: str | None = None, start_ids: dict[str, int] | None = None,
     block_rows: int = LIST_BLOCK_ROWS,
@@ -133,10 +140,7 @@ def replay(
     ``diary_owner`` names a column that owns pages. ``state`` gives the entries to start from,
     ``start_ids`` the last used id of each kind.
     """
-    kind = _choose("tool", 0)
-    owner = F.when(kind == "diary", F.col(diary_owner).cast("string") if diary_owner else F.lit("")).otherwise(
-        F.col("user_id").cast("string")
-    )
+    kind, owner = list_of_call(diary_owner)
     # The range exchange below reads its input twice, once to sample it; calls may be costly to parse.
     calls = durable(calls, "calls")
     ops = calls.select(

@@ -118,14 +118,15 @@ def test_replay_goes_on_from_a_state(spark):
         assert (r.success, r.message) == said[r.op_id]
 
 
-def test_stream_matches_batch_for_any_split(spark, tmp_path):
+@pytest.mark.parametrize("compact_every", [2, 50])
+def test_stream_matches_batch_for_any_split(spark, tmp_path, compact_every):
     calls = make_calls(random.Random(3), 150)
     it, said = plain(calls)
     inbox, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
-    for part in (calls[:20], calls[20:110], calls[110:]):
+    for part in (calls[:20], calls[20:23], calls[23:110], calls[110:]):
         spark.createDataFrame(part, CALLS).write.mode("append").parquet(inbox)
         stream = spark.readStream.schema(CALLS).parquet(inbox)
-        replay_stream(stream, out, checkpoint).awaitTermination()
+        replay_stream(stream, out, checkpoint, compact_every=compact_every).awaitTermination()
     assert entry_rows(current_entries(spark, out)) == sorted(it.entries(), key=lambda r: r[:3])
     got = {r.op_id: (r.success, r.message) for r in all_outcomes(spark, out).filter("success is not null").collect()}
     assert got == {k: v for k, v in said.items() if v[0] is not None}
