@@ -22,7 +22,11 @@ RECENT_QUESTIONS = 5
 
 @dataclass(frozen=True)
 class Wording:
-    """Labels and fixed lines of the prompts; replace them to match the prompts in use."""
+    """Labels and lines of the prompts; replace them to match the prompts in use.
+
+    Fixed values: ``user_label`` and the headings ``previous_question``, ``excerpt``, ``asked``
+    and ``no_answer``. The other lines are this package's own.
+    """
 
     user_label: str = "Tester"
     assistant_label: str = "Assistant"

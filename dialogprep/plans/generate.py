@@ -27,8 +27,8 @@ class Prompts:
     tester_user: str = ""
     assistant_system: str = ""
     rewriter_system: str = ""
-    rewrite_before: str = "** Internal thinking section to rewrite:**\n"
-    rewrite_after: str = "\n**End of Internal thinking section to rewrite.**\nRewrite it as natural first-person thoughts."
+    rewrite_before: str = "Thoughts to rewrite:\n"
+    rewrite_after: str = "\nEnd of the thoughts. Say them again in your own natural words, in the first person."
     wording: Wording = field(default_factory=Wording)
 
 
