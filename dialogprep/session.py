@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,16 +11,11 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for intermediate tables.
+    """The folder the cluster names for intermediate tables, else one below the warehouse.
 
-    Only a local session may go without one; it then gets a fresh temporary folder.
+    Both are shared by all executors; no machine's own temporary folder is ever used.
     """
-    named = spark.conf.get(_SETTING, None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder that every executor can reach")
-        named = tempfile.mkdtemp(prefix="dialogprep-")
-        spark.conf.set(_SETTING, named)
+    named = spark.conf.get(_SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return named.rstrip("/")
 
 
