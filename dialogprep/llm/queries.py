@@ -98,3 +98,34 @@ def op9_simhash(spark, sf_dir):
 
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select(F.col("id").alias("doc_id"), simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op3_html_extraction(spark, sf_dir):
+    from dialogprep.llm import html
+
+    return html.extracted(pages(spark, sf_dir)).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+WARC_SQL = r"""
+with p as (select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha1(coalesce(html, '')) as sha from pages),
+b as (select *, array_to_string(list_transform(range(1, 41), lambda i: ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001',
+    '1010', '1011', '1100', '1101', '1110', '1111'][strpos('0123456789abcdef', substr(sha, i::int, 1))]), '') as bits,
+  min(page_id) over (partition by sha) as first from p)
+select page_id, payload_bytes, array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1
+    + 16 * substr(bits, (5 * k + 1)::int, 1)::int + 8 * substr(bits, (5 * k + 2)::int, 1)::int + 4 * substr(bits, (5 * k + 3)::int, 1)::int
+    + 2 * substr(bits, (5 * k + 4)::int, 1)::int + substr(bits, (5 * k + 5)::int, 1)::int)::int, 1)), '') as payload_digest,
+  case when page_id > first then 'revisit' else 'response' end as record_type, case when page_id > first then first end as refers_to
+from b"""
+
+
+@query(WARC_SQL)
+def op4_warc(spark, sf_dir):
+    from dialogprep.llm import warc
+    from dialogprep.session import scratch_path
+
+    path = scratch_path(spark, "warc")
+    warc.write(pages(spark, sf_dir), path)
+    found = warc.read(spark, path, payload=False).filter(F.col("record_type").isin("response", "revisit"))
+    return found.select(
+        warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_of(F.col("refers_to")).alias("refers_to"))
