@@ -129,3 +129,10 @@ def op4_warc(spark, sf_dir):
     found = warc.read(spark, path, payload=False).filter(F.col("record_type").isin("response", "revisit"))
     return found.select(
         warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
+@query()
+def op10_suffix_dedup(spark, sf_dir):
+    from dialogprep.llm import suffixes
+
+    return suffixes.deduplicated(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
