@@ -136,3 +136,10 @@ def op10_suffix_dedup(spark, sf_dir):
     from dialogprep.llm import suffixes
 
     return suffixes.deduplicated(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op2_document_fingerprints(spark, sf_dir):
+    from dialogprep.llm import sketches
+
+    return sketches.fingerprinted(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
