@@ -143,3 +143,15 @@ def op2_document_fingerprints(spark, sf_dir):
     from dialogprep.llm import sketches
 
     return sketches.fingerprinted(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op1_license_scans(spark, sf_dir):
+    from dialogprep.llm import licences
+
+    found = licences.scanned(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_paragraphs", F.size("licences").cast("long").alias("n_licensed"),
+        F.array_join(F.array_sort(F.array_distinct(F.col("licences.family"))), ",").alias("families"),
+        F.array_max(F.col("licences.probability")).alias("probability"),
+        F.array_join(F.transform("licences", lambda r: F.concat_ws(":", r["paragraph"], r["family"])), ",").alias("paragraphs"))

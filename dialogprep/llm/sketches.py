@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from dialogprep.operators.order import ordered_index
 from dialogprep.session import durable
 
-CELLS = 16
+CELLS = 32
 #: Digests of both texts together that a group of cells is sized for when a comparison is repeated.
-GROUP_DIGESTS = 16
+GROUP_DIGESTS = 40
 RETRIES = 5
 ROUNDS = 16
 PARAGRAPH = r"(?m)[^\n]{64,192}?(?:[.!?](?=\s)|$)|[^\n]{1,192}"
@@ -54,9 +54,14 @@ def _is_digest(k: Column) -> Column:
     return F.xxhash64(high).bitwiseAND(_long(0xFFFF)) == k.bitwiseAND(_long(0xFFFF))
 
 
-def _cell(k: Column, table: int, seed: Column) -> Column:
-    """The cell of digest ``k`` in a table, from 0."""
-    return F.xxhash64(k, F.lit(table), seed).bitwiseAND(_long(CELLS - 1)).cast("int")
+def _hash(k: Column, seed: Column) -> Column:
+    """Five bits of it are the cell in each table, those above the group."""
+    return F.xxhash64(k, seed)
+
+
+def _cell(h: Column, table: int) -> Column:
+    """The cell in a table, from 0, for a hash."""
+    return F.call_function("shiftrightunsigned", h, F.lit(5 * table)).bitwiseAND(_long(CELLS - 1)).cast("int")
 
 
 def _put(cells: Column, at: Column, k: Column, n: Column) -> Column:
@@ -66,9 +71,10 @@ def _put(cells: Column, at: Column, k: Column, n: Column) -> Column:
     return F.concat(F.slice(cells, F.lit(1), at), F.array(new), F.slice(cells, at + 2, F.lit(CELLS)))
 
 
-def _put_all(sketch: Column, keys: Column, n: int, seed: Column) -> Column:
-    """``sketch`` with ``n`` added for each of ``keys``."""
-    return F.aggregate(keys, sketch, lambda t, k: F.struct(*[_put(t[f"t{j}"], _cell(k, j, seed), k, F.lit(n)).alias(f"t{j}") for j in range(3)]))
+def _put_all(sketch: Column, hashed: Column, sign: int) -> Column:
+    """``sketch`` with each of ``hashed(k, h, n)`` put in, its count times ``sign``."""
+    return F.aggregate(hashed, sketch, lambda t, x: F.struct(
+        *[_put(t[f"t{j}"], _cell(x["h"], j), x["k"], x["n"] * sign).alias(f"t{j}") for j in range(3)]))
 
 
 def _empty() -> Column:
@@ -76,9 +82,13 @@ def _empty() -> Column:
     return F.struct(*[cells.alias(f"t{j}") for j in range(3)])
 
 
-def sketch(keys: Column, seed: Column | int = 0) -> Column:
+def sketch(keys: Column, seed: int = 0) -> Column:
     """One group of cells holding ``keys``."""
-    return _put_all(_empty(), keys, 1, F.lit(seed) if isinstance(seed, int) else seed)
+    return _put_all(_empty(), _hashed(keys, F.lit(seed)), 1)
+
+
+def _hashed(keys: Column, seed: Column) -> Column:
+    return F.transform(keys, lambda k: F.struct(k.alias("k"), _hash(k, seed).alias("h"), F.lit(1).alias("n")))
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -87,38 +97,52 @@ def subtract(a: Column, b: Column) -> Column:
     return F.struct(*[F.zip_with(a[f"t{j}"], b[f"t{j}"], less).alias(f"t{j}") for j in range(3)])
 
 
-def _bare(cells: Column, table: int, n: int, seed: Column) -> Column:
-    """Digests that stand alone in a cell with count ``n``."""
-    alone = F.filter(cells, lambda x, i: (x["n"] == n) & _is_digest(x["k"]) & (_cell(x["k"], table, seed) == i))
-    return F.transform(alone, lambda x: x["k"])
+def _bare(cells: Column, table: int, seed: Column) -> Column:
+    """``(k, h, n)`` of the digests that stand alone in a cell."""
+    alone = F.filter(cells, lambda x, i: (F.abs(x["n"]) == 1) & _is_digest(x["k"]) & (_cell(_hash(x["k"], seed), table) == i))
+    return F.transform(alone, lambda x: F.struct(x["k"].alias("k"), _hash(x["k"], seed).alias("h"), x["n"].alias("n")))
 
 
 def peel(difference: Column, seed: Column | int = 0, rounds: int = ROUNDS) -> Column:
-    """``(ok, plus, minus)``: whether all came out, and the digests only in the first and only in the second."""
+    """``(ok, plus, minus)``: whether all came out, and the digests only in the first and only in the second.
+
+    The tables are peeled in turn, so no digest is found twice in a step; three steps without a find end it.
+    """
     seed = F.lit(seed) if isinstance(seed, int) else seed
     none = F.array().cast("array<bigint>")
-    start = F.struct(difference.alias("cells"), none.alias("plus"), none.alias("minus"), F.lit(False).alias("still"))
+    start = F.struct(difference.alias("cells"), none.alias("plus"), none.alias("minus"), F.lit(0).alias("still"))
+    signed = lambda found, n: F.transform(F.filter(found, lambda x: x["n"] == n), lambda x: x["k"])
+
+    def step(table: int):
+        def go(state: Column) -> Column:
+            # the transform names a step's finds, so that they are not searched again for each use
+            named = F.transform(F.array(_bare(state["cells"][f"t{table}"], table, seed)), lambda f: F.when(
+                F.size(f) == 0, F.struct(state["cells"].alias("cells"), state["plus"].alias("plus"), state["minus"].alias("minus"), (state["still"] + 1).alias("still"))
+            ).otherwise(F.struct(
+                _put_all(state["cells"], f, -1).alias("cells"), F.concat(state["plus"], signed(f, 1)).alias("plus"),
+                F.concat(state["minus"], signed(f, -1)).alias("minus"), F.lit(0).alias("still"))))
+            return F.when(state["still"] >= 3, state).otherwise(F.get(named, F.lit(0)))
+
+        return go
 
-    def step(state: Column, _: Column) -> Column:
-        found = lambda n: F.array_distinct(F.concat(*[_bare(state["cells"][f"t{j}"], j, n, seed) for j in range(3)]))
-        # names the round's finds once, so that they are not searched again for each use
-        named = F.transform(F.array(F.struct(found(1).alias("p"), found(-1).alias("m"))), lambda f: F.struct(
-            _put_all(_put_all(state["cells"], f["p"], -1, seed), f["m"], 1, seed).alias("cells"),
-            F.concat(state["plus"], f["p"]).alias("plus"), F.concat(state["minus"], f["m"]).alias("minus"),
-            ((F.size(f["p"]) == 0) & (F.size(f["m"]) == 0)).alias("still")))
-        return F.when(state["still"], state).otherwise(F.get(named, F.lit(0)))
+    def turn(state: Column, i: Column) -> Column:
+        table = i % 3
+        return F.when(table == 0, step(0)(state)).when(table == 1, step(1)(state)).otherwise(step(2)(state))
 
     def finish(state: Column) -> Column:
         clean = [F.forall(state["cells"][f"t{j}"], lambda x: (x["n"] == 0) & (x["k"] == 0)) for j in range(3)]
         return F.struct((clean[0] & clean[1] & clean[2]).alias("ok"), state["plus"].alias("plus"), state["minus"].alias("minus"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step, finish)
+    return F.aggregate(F.sequence(F.lit(0), F.lit(3 * rounds - 1)), start, turn, finish)
 
 
 def _compare(a: Column, b: Column, groups: Column, seed: Column) -> Column:
     """``(ok, plus, minus)`` of two sets of digests, sketched in ``groups`` groups of cells each; sizes, not digests."""
-    part = lambda keys, g: F.filter(keys, lambda k: F.pmod(F.xxhash64(k, F.lit(7), seed), groups) == g)
-    each = F.transform(F.sequence(_long(0), groups - 1), lambda g: peel(subtract(sketch(part(a, g), seed), sketch(part(b, g), seed)), seed))
+    above = lambda h: F.pmod(F.call_function("shiftrightunsigned", h, F.lit(15)), groups)
+    part = lambda hashed, g: F.filter(hashed, lambda x: above(x["h"]) == g)
+    both = F.array(F.struct(_hashed(a, seed).alias("a"), _hashed(b, seed).alias("b")))
+    each = F.get(F.transform(both, lambda s: F.transform(F.sequence(_long(0), groups - 1), lambda g: peel(
+        subtract(_put_all(_empty(), part(s["a"], g), 1), _put_all(_empty(), part(s["b"], g), 1)), seed))), F.lit(0))
     zero = F.struct(F.lit(True).alias("ok"), F.lit(0).alias("plus"), F.lit(0).alias("minus"))
     return F.aggregate(each, zero, lambda s, r: F.struct(
         (s["ok"] & r["ok"]).alias("ok"), (s["plus"] + F.size(r["plus"])).alias("plus"), (s["minus"] + F.size(r["minus"])).alias("minus")))
