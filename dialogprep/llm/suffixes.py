@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from dialogprep.session import durable
 
 LENGTH = 400
-GRAM = 64
+GRAM = 160
 SHARD_BYTES = 256 << 10
 _B = 0x5851F42D4C957F2D
 
@@ -69,6 +69,7 @@ def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
 def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first, last, anchor hash) of each run of starts of ``length`` bytes that share an anchor, leftmost on ties."""
     n = len(data)
+    gram = min(gram, length)
     if n < length:
         none = np.empty(0, np.int64)
         return none, none, np.empty(0, np.uint64)
@@ -261,8 +262,11 @@ _SPANS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
 
 def _repeats(pieces: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """``(anchor, digest, spans)``: starts in a piece from which ``length`` bytes also stand in another piece of ``pieces(anchor, digest, data)``."""
-    per = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("data")).alias("bytes")).filter("n > 1")
+    """``(anchor, digest, spans)``: starts in a piece from which ``length`` bytes also stand in another of ``pieces(anchor, digest, data, n)``.
+
+    Anchors all of whose pieces stand in two places need no answer.
+    """
+    per = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("data")).alias("bytes"), F.min("n").alias("least")).filter("n > 1 and least = 1")
     per = durable(per.select("anchor", F.ceil(F.col("bytes") / shard_bytes).cast("int").alias("c")), "anchors")
     own = F.pmod(F.xxhash64("digest"), F.col("c")).cast("int")
     dealt = pieces.join(per, "anchor").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
@@ -367,7 +371,7 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", length
     texts = durable(once.withColumn("key", F.xxhash64("sha")).join(own, "key").select("sha", "text", "hashes"), "candidates")
     pieces = durable(_piece_rows(texts, length), "pieces")
     distinct = durable(pieces.groupBy("anchor", "digest").agg(F.first("data").alias("data"), F.count(F.lit(1)).alias("n")), "distinct-pieces")
-    repeats = durable(_repeats(distinct.select("anchor", "digest", "data"), length, shard_bytes), "repeats")
+    repeats = durable(_repeats(distinct, length, shard_bytes), "repeats")
     # a piece that stands in two places is repeated as a whole
     owners = pieces.select("anchor", "digest", "sha", "first")
     parts = distinct.filter("n > 1").select("anchor", "digest", F.array(F.struct(
