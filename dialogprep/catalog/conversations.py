@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dialogprep.catalog.registry import query
-from dialogprep.catalog.views import GENERATION_LOG, MARKED_REPLIES, MESSAGE_LOG, MIX, sql, view
+from dialogprep.catalog.views import GENERATION_LOG, MARKED_REPLIES, MESSAGE_LOG, MIX, generation_log, sql, view
 from dialogprep.operators import dialogue, shape
 
 _LOG, _GEN, _MIX, _MARKED = sql(MESSAGE_LOG), sql(GENERATION_LOG), sql(MIX), sql(MARKED_REPLIES)
@@ -87,19 +87,19 @@ select item, conv_id, worker_id, prev_question, prev_answer from (
 
 @query(_previous("partition by l.worker_id"))
 def previous_context(spark, sf):
-    out = shape.previous_context(view(spark, sf, GENERATION_LOG), view(spark, sf, MESSAGE_LOG))
+    out = shape.previous_context(generation_log(spark, sf), view(spark, sf, MESSAGE_LOG))
     return out.select("item", "conv_id", "worker_id", "prev_question", "prev_answer")
 
 
 @query(_previous(""))
 def previous_context_global(spark, sf):
-    out = shape.previous_context(view(spark, sf, GENERATION_LOG), view(spark, sf, MESSAGE_LOG), by=())
+    out = shape.previous_context(generation_log(spark, sf), view(spark, sf, MESSAGE_LOG), by=())
     return out.select("item", "conv_id", "worker_id", "prev_question", "prev_answer")
 
 
 @query(f"select conv_id, format('conv_{{:06d}}', 41 + row_number() over (order by item)) as id from ({_GEN})")
 def assign_ids(spark, sf):
-    return shape.assign_ids(view(spark, sf, GENERATION_LOG).select("item", "conv_id"), ["item"], start=41).select("conv_id", "id")
+    return shape.assign_ids(generation_log(spark, sf).select("item", "conv_id"), ["item"], start=41).select("conv_id", "id")
 
 
 _VISIBLE = r"""regexp_replace(case when contains(content, '</think>') then substr(content, instr(content, '</think>') + 8)
@@ -149,14 +149,14 @@ def _lit(text: str) -> str:
 @query(f"""select item, {_lit('Base.' + _W.opening + _W.previous_question)} || prev_question || {_lit(_W.previous_answer)} ||
   {_VISIBLE.replace('content', 'prev_answer')} as prompt from ({_previous('partition by l.worker_id')})""")
 def opening_prompt(spark, sf):
-    context = shape.previous_context(view(spark, sf, GENERATION_LOG), view(spark, sf, MESSAGE_LOG))
+    context = shape.previous_context(generation_log(spark, sf), view(spark, sf, MESSAGE_LOG))
     return dialogue.opening_prompt(context, "Base.").select("item", "prompt")
 
 
 @query(f"""select item, {_lit('Base.' + _W.short_previous_question)} || prev_question || {_lit(_W.short_previous_answer)} || prev_answer as prompt
 from ({_previous('')})""")
 def opening_prompt_short(spark, sf):
-    context = shape.previous_context(view(spark, sf, GENERATION_LOG), view(spark, sf, MESSAGE_LOG), by=())
+    context = shape.previous_context(generation_log(spark, sf), view(spark, sf, MESSAGE_LOG), by=())
     return dialogue.opening_prompt(context, "Base.", short=True).select("item", "prompt")
 
 

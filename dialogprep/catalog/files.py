@@ -52,11 +52,10 @@ def read_corpora(spark, sf):
 
 
 @query("""select row_number() over (order by doc_id) - 1 as conv_id, 0::bigint as turn, 'assistant' as role, text as content
-from documents where lang = 'en'""")
+from documents""")
 def read_monologues(spark, sf):
     path = scratch_path(spark, "monologues")
-    docs = table(spark, sf, "documents").filter("lang = 'en'")
-    _write_lines(docs, F.to_json(F.struct(F.col("text").alias("content"))), path, "doc_id")
+    _write_lines(table(spark, sf, "documents"), F.to_json(F.struct(F.col("text").alias("content"))), path, "doc_id")
     return files.read_monologues(spark, path, layout="lines")
 
 

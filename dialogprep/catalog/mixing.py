@@ -10,47 +10,57 @@ from dialogprep.config import ChatTemplate, Settings
 from dialogprep.operators import examples, mix
 from dialogprep.operators.shape import to_message_log
 from dialogprep.plans import prepare
+from dialogprep.session import durable
 
-TARGET, SIZE, PROMPT, EOS = 40, 8, "Be kind.", 3
-SETTINGS = Settings(target_megachats=TARGET, mega_size=SIZE, seed=SEED, system_prompt=PROMPT, eos_id=EOS)
+SIZE, PROMPT, EOS = 8, "Be kind.", 3
+# as many blocks as there are conversations, so that the work grows with the tables
+TARGET_SQL = "(select count(distinct conv_id) from conversations)"
 MAX_LEN = 700  # short enough that most rows are cut
 
 
+def _target(spark, sf) -> int:
+    return table(spark, sf, "conversations").select("conv_id").distinct().count()
+
+
+def _settings(spark, sf) -> Settings:
+    return Settings(target_megachats=_target(spark, sf), mega_size=SIZE, seed=SEED, system_prompt=PROMPT, eos_id=EOS)
+
+
 def _sources(spark, sf):
     return prepare.from_turns(view(spark, sf, MIX))
 
 
 def _keys(spark, sf):
-    return mix.conversation_keys(view(spark, sf, MIX))
+    return durable(mix.conversation_keys(view(spark, sf, MIX)), "keys")  # narrow; read by sizes and both samplers
 
 
-def _quota(keys):
-    return mix.mix_quota(mix.source_sizes(keys), TARGET, SIZE)
+def _quota(spark, sf, keys):
+    return mix.mix_quota(mix.source_sizes(keys), _target(spark, sf), SIZE)
 
 
 def _pool(spark, sf):
-    return mix.sample_pool(_keys(spark, sf), TARGET, SIZE, SEED)
+    return mix.sample_pool(_keys(spark, sf), _target(spark, sf), SIZE, SEED)
 
 
 def _packed(spark, sf):
-    return mix.cap(mix.pack(mix.shuffle(_pool(spark, sf), SEED), SIZE), TARGET)
+    return mix.cap(mix.pack(mix.shuffle(_pool(spark, sf), SEED), SIZE), _target(spark, sf))
 
 
 def _flat(spark, sf):
-    return prepare.build_megachats(_sources(spark, sf), SETTINGS)
+    return prepare.build_megachats(_sources(spark, sf), _settings(spark, sf))
 
 
 # ---- the same steps in SQL ------------------------------------------------------------------
 
 
-def steps(mix_sql: str, target: int = TARGET, size: int = SIZE, prompt: str = PROMPT) -> str:
+def steps(mix_sql: str, target: str = TARGET_SQL, size: int = SIZE, prompt: str = PROMPT) -> str:
     return f"""with mix as ({mix_sql}),
  keys as (select source, conv_key, count(*) as n_msgs from mix group by all),
  sizes as (select source, count(*) as n_source from keys group by source),
  weights as (select *, case when exists (select 1 from sizes where source = 'external')
      then case source when 'generated' then 0.2::double when 'external' then 0.7::double else 0.1::double end
      else case source when 'generated' then 0.9::double when 'external' then 0::double else 0.1::double end end as weight from sizes),
- quota as (select *, floor({target * size}::double * weight)::bigint as quota from weights),
+ quota as (select *, floor(({target} * {size})::double * weight)::bigint as quota from weights),
  placed as (select k.*, q.n_source, q.quota,
      row_number() over (partition by source order by md5('{SEED}|' || source || '|' || conv_key), conv_key) - 1 as slot
    from keys k join quota q using (source)),
@@ -111,7 +121,7 @@ def mix_weights_without_external(spark, sf):
 
 @query(STEPS + "select source, n_source, weight, quota from quota")
 def mix_quota(spark, sf):
-    return _quota(_keys(spark, sf))
+    return _quota(spark, sf, _keys(spark, sf))
 
 
 @query(STEPS + """select source, n_source, case source when 'generated' then 0::double when 'external' then 0.95::double else 0.05::double end as weight,
@@ -124,13 +134,13 @@ def mix_quota_training_run(spark, sf):
 @query(STEPS + "select * from few")
 def sample_exact(spark, sf):
     keys = _keys(spark, sf)
-    return mix.sample_exact(keys, _quota(keys), SEED)
+    return mix.sample_exact(keys, _quota(spark, sf, keys), SEED)
 
 
 @query(STEPS + "select * from many")
 def oversample(spark, sf):
     keys = _keys(spark, sf)
-    return mix.oversample(keys, _quota(keys), SEED)
+    return mix.oversample(keys, _quota(spark, sf, keys), SEED)
 
 
 @query(STEPS + "select * from pool")
@@ -148,13 +158,13 @@ def pack_megachats(spark, sf):
     return mix.pack(mix.shuffle(_pool(spark, sf), SEED), SIZE)
 
 
-@query(steps(sql(MIX), target=20).replace("where pos // 8 < 20", "") + """, z as (select * replace (case when (pos // 8) % 5 = 1 then 0 else n_msgs end as n_msgs) from packed),
+@query(steps(sql(MIX)).replace(f"where pos // 8 < {TARGET_SQL}", "") + f""", z as (select * replace (case when (pos // 8) % 5 = 1 then 0 else n_msgs end as n_msgs) from packed),
  k as (select mega_id, row_number() over (order by mega_id) - 1 as n from z group by mega_id having sum(n_msgs) > 0)
-select z.source, z.conv_key, z.n_msgs, z.draw, z.pos, k.n as mega_id from z join k using (mega_id) where k.n < 11""")
+select z.source, z.conv_key, z.n_msgs, z.draw, z.pos, k.n as mega_id from z join k using (mega_id) where k.n < {TARGET_SQL} // 2""")
 def cap_megachats(spark, sf):
-    pool = mix.shuffle(mix.sample_pool(_keys(spark, sf), 20, SIZE, SEED), SEED)
+    pool = mix.shuffle(_pool(spark, sf), SEED)
     packed = mix.pack(pool, SIZE).withColumn("n_msgs", F.expr("case when mega_id % 5 = 1 then 0L else n_msgs end"))
-    return mix.cap(packed, 11)
+    return mix.cap(packed, _target(spark, sf) // 2)
 
 
 @query(STEPS + "select mega_id, ord, pos, content, role from bare")
@@ -248,24 +258,22 @@ with log as (select row_number() over (order by conv_id, turn) - 1 as seq, role,
  seg as (select *, coalesce(sum((role = 'assistant')::int) over (order by seq rows between unbounded preceding and 1 preceding), 0) as s from log)
 select 'generated' as source, s::varchar as conv_key, seq as turn, role, content from seg
   where s < (select count(*) from log where role = 'assistant')
-union all select 'external', conv_id::varchar, turn, role, text from conversations where conv_id % 2 = 0
-union all select 'personality', doc_id::varchar, 0, 'assistant', text from documents where lang = 'en'"""
-
-FLAGSHIP = Settings(target_megachats=50, mega_size=8, seed=SEED, system_prompt=PROMPT, eos_id=EOS)
+union all select 'external', conv_id::varchar, turn, role, text from conversations
+union all select 'personality', doc_id::varchar, 0, 'assistant', text from documents"""
 
 
-@query(steps(_LOG_MIX, target=50) + tokens(4096) + """select mega_id, ord, n_full, length(ids) // 2 as n_ids,
+@query(steps(_LOG_MIX) + tokens(4096) + """select mega_id, ord, n_full, length(ids) // 2 as n_ids,
   length(ids) // 2 - length(tail) // 2 as n_masked, md5(ids) as ids_md5 from rows_""")
 def prepare_dataset(spark, sf):
     log = to_message_log(view(spark, sf, MESSAGE_LOG))
-    external = table(spark, sf, "conversations").filter("conv_id % 2 = 0").select(
+    external = table(spark, sf, "conversations").select(
         F.lit("external").alias("source"), F.col("conv_id").cast("string").alias("conv_key"), "turn", "role", F.col("text").alias("content")
     )
-    alone = table(spark, sf, "documents").filter("lang = 'en'").select(
+    alone = table(spark, sf, "documents").select(
         F.col("doc_id").alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.lit("assistant").alias("role"), F.col("text").alias("content")
     )
     sources = prepare.combine(prepare.from_message_log(log), prepare.from_turns(external), prepare.from_monologues(alone))
-    rows = prepare.prepare_dataset(sources, FLAGSHIP)
+    rows = prepare.prepare_dataset(sources, _settings(spark, sf))
     return rows.select(
         "mega_id", "ord", "n_full", F.size("input_ids").cast("long").alias("n_ids"),
         F.size(F.filter("labels", lambda l: l == -100)).cast("long").alias("n_masked"),

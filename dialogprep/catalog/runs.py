@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import functions as F
 
 from dialogprep.catalog import mixing
 from dialogprep.catalog.registry import query
-from dialogprep.catalog.views import GENERATION_LOG, MANTRA, MESSAGE_LOG, NAME, sql, table, view
+from dialogprep.catalog.views import GENERATION_LOG, MANTRA, MESSAGE_LOG, NAME, generation_log, sql, table, view
 from dialogprep.operators import examples, runs, shape
 from dialogprep.plans import generate as rounds
 from dialogprep.session import scratch_path
@@ -20,7 +21,7 @@ _START = "timestamp '2024-01-01 00:00:00'"
 
 
 def _log(spark, sf):
-    return view(spark, sf, GENERATION_LOG)
+    return generation_log(spark, sf)
 
 
 def _assigned(spark, sf):
@@ -82,12 +83,12 @@ def _flaky():
         if len(text) % 7 == 0 or text not in seen:
             seen.add(text)
             raise RuntimeError("try again")
-        return "echo: " + text[:40]
+        return "echo: " + text
 
     return ask
 
 
-@query("select conv_id, turn, case when length(text) % 7 = 0 then '' else 'echo: ' || substr(text, 1, 40) end as response from conversations")
+@query("select conv_id, turn, case when length(text) % 7 = 0 then '' else 'echo: ' || text end as response from conversations")
 def generate(spark, sf):
     requests = table(spark, sf, "conversations").select("conv_id", "turn", F.col("text").alias("prompt"))
     return runs.generate(requests, _flaky, wait_seconds=0).select("conv_id", "turn", "response")
@@ -108,7 +109,7 @@ def assistant():
         if len(messages) > 2:
             return f"Done, {len(messages[3]['content'])} letters."
         n = sum(map(ord, question))
-        act = ('add_memory(input_text=["%s"])' % question[:12].strip(), "recall_memories()", "delete_memory(indices=[2])", "check_watch()")[n % 4]
+        act = ('add_memory(input_text=["%s"])' % hashlib.md5(question.encode()).hexdigest(), "recall_memories()", "delete_memory(indices=[2])", "check_watch()")[n % 4]
         return f"<think>the user asks {n % 10}</think><tool_call>{act}</tool_call> Answer {n}"
 
     return ask
@@ -147,12 +148,12 @@ def ingest_stream(spark, sf):
 
 def _model(name):
     def client():
-        return lambda text: f"{name}: {text[:20]}"
+        return lambda text: f"{name}: {text}"
 
     return client
 
 
-@query("select item_id as question_no, model, model || ': ' || substr(text, 1, 20) as response from benchmark, (values ('m1'), ('m2')) v(model)")
+@query("select item_id as question_no, model, model || ': ' || text as response from benchmark, (values ('m1'), ('m2')) v(model)")
 def evaluate(spark, sf):
     prompts = table(spark, sf, "benchmark").select(F.col("item_id").alias("question_no"), F.col("text").alias("prompt"))
     return runs.evaluate(prompts, {"m1": _model("m1"), "m2": _model("m2")}).select("question_no", "model", "response")

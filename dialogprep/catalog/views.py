@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dialogprep.operators.order import ordered_index
+
 SEED = 3407
 MANTRA = "I speak in my own voice."
 NAME = "Robin"
@@ -38,12 +40,11 @@ DIARY_LOG = (
 REMINDER_LOG = TOOL_LOG.replace("recall_memories", "recall_reminders")
 REMINDER_DELETE_LOG = TOOL_LOG.replace("complete_reminder", "delete_reminder")
 
+# for the checking engine; Spark numbers the items by range in ``generation_log``
 GENERATION_LOG = """
-select g.item, g.conv_id, g.n_msgs, g.worker_id, e.ts as finished_at from (
-  select cast(row_number() over (order by conv_id) - 1 as bigint) as item, conv_id, n_msgs,
-    cast((row_number() over (order by conv_id) - 1) % 3 as int) as worker_id
-  from (select conv_id, count(*) as n_msgs from {conversations} group by conv_id)) g
-join {events} e on e.event_id = g.item"""
+select item, conv_id, n_msgs, (item % 3)::int as worker_id, timestamp '2024-01-01 00:00:00' + to_seconds(item * 900 + item % 5 * 200) as finished_at
+from (select cast(row_number() over (order by conv_id) - 1 as bigint) as item, conv_id, n_msgs
+  from (select conv_id, count(*) as n_msgs from {conversations} group by conv_id))"""
 
 MIX = """
 select 'generated' as source, concat('g', conv_id, '_', seg) as conv_key, turn, role, content from (
@@ -51,8 +52,8 @@ select 'generated' as source, concat('g', conv_id, '_', seg) as conv_key, turn,
     coalesce(sum(case when role = 'assistant' then 1 else 0 end) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding), 0) as seg,
     max(case when role = 'assistant' then turn else -1 end) over (partition by conv_id) as last_reply
   from {conversations}) where turn <= last_reply
-union all select 'external', concat('e', conv_id), turn, role, text from {conversations} where conv_id % 2 = 0
-union all select 'personality', concat('p', doc_id), 0, 'assistant', substr(text, 1, 200) from {documents} where lang = 'en'"""
+union all select 'external', concat('e', conv_id), turn, role, text from {conversations}
+union all select 'personality', concat('p', doc_id), 0, 'assistant', text from {documents}"""
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -67,6 +68,14 @@ def view(spark: SparkSession, sf: str, sql: str) -> DataFrame:
     return spark.sql(sql, **{n: table(spark, sf, n) for n in names})
 
 
+def generation_log(spark: SparkSession, sf: str) -> DataFrame:
+    """``(item, conv_id, n_msgs, worker_id, finished_at)``, one row per conversation, numbered in order."""
+    counts = table(spark, sf, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_msgs"))
+    return ordered_index(counts, ["conv_id"], "item").select(
+        "item", "conv_id", "n_msgs", (F.col("item") % 3).cast("int").alias("worker_id"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("item") * 900 + F.col("item") % 5 * 200).alias("finished_at"))
+
+
 def sql(text: str) -> str:
     """The same view for the checking engine."""
     return text.format(conversations="conversations", events="events", documents="documents")

@@ -29,9 +29,10 @@ def source_sizes(keys: DataFrame) -> DataFrame:
 
 
 def _weight(weights: dict[str, float], fallback: dict[str, float]) -> Column:
-    out = F.lit(None).cast("double")
-    for source in fallback:
-        out = F.when(F.col("source") == source, F.lit(float(weights.get(source, fallback[source])))).otherwise(out)
+    """The caller's weight of a source, else the fallback; a source that neither names is an error."""
+    out = F.raise_error(F.concat(F.lit("no weight for source "), F.coalesce("source", F.lit("null")))).cast("double")
+    for source in {**fallback, **weights}:
+        out = F.when(F.col("source") == source, F.lit(float(weights.get(source, fallback.get(source))))).otherwise(out)
     return out
 
 
@@ -54,8 +55,7 @@ def mix_weights(sizes: DataFrame, weights: dict[str, float] | None = None) -> Da
 def mix_quota(sizes: DataFrame, target_megachats: int, mega_size: int, weights: dict[str, float] | None = None) -> DataFrame:
     """Add ``quota``: the truncated product of pool size and weight. Empty sources give nothing."""
     total = target_megachats * mega_size
-    known = F.col("source").isin(*WEIGHT_FALLBACK)
-    return mix_weights(sizes.filter((F.col("n_source") > 0) & known), weights).withColumn(
+    return mix_weights(sizes.filter(F.col("n_source") > 0), weights).withColumn(
         "quota", F.floor(F.lit(total).cast("double") * F.col("weight"))
     )
 
@@ -63,7 +63,7 @@ def mix_quota(sizes: DataFrame, target_megachats: int, mega_size: int, weights:
 def _indexed(keys: DataFrame, quota: DataFrame, seed: int) -> DataFrame:
     """Conversations with their seeded place inside the source, next to the source's quota."""
     placed = global_index(keys, seed, KEY, "slot", within=["source"])
-    return placed.join(F.broadcast(quota.select("source", "n_source", "quota")), "source")  # three sources at most
+    return placed.join(F.broadcast(quota.select("source", "n_source", "quota")), "source")  # one row per source that has a weight
 
 
 def sample_exact(keys: DataFrame, quota: DataFrame, seed: int) -> DataFrame:

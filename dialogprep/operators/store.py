@@ -399,11 +399,17 @@ def _against_snapshot(ops: DataFrame, state: DataFrame, kind: str, items: str) -
     return hit.join(stocked, "owner", "left").withColumn("stocked", F.coalesce("stocked", F.lit(False))), snapshot
 
 
-def _batch_message(items: DataFrame, nothing: str) -> DataFrame:
-    """One message per operation: its item messages on separate lines (a group is one batch)."""
-    return items.groupBy("op_id", "owner").agg(
-        F.first("stocked").alias("_s"), F.transform(F.sort_array(F.collect_list(F.struct("pos", "message"))), lambda r: r["message"]).alias("_m")
-    ).select("op_id", "owner", F.when(F.col("_s"), F.array_join("_m", "\n")).otherwise(F.lit(nothing)).alias("message"))
+def _batch_message(ops: DataFrame, items: DataFrame, snapshot: DataFrame, nothing: str) -> DataFrame:
+    """One message per operation: its item messages on separate lines (a group is one batch).
+
+    An operation without items has an empty message, or ``nothing`` on an empty list.
+    """
+    each = items.groupBy("op_id", "owner").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "message"))), lambda r: r["message"]).alias("_m")
+    )
+    stocked = snapshot.select("owner").distinct().withColumn("_s", F.lit(True))
+    told = ops.select("op_id", "owner").join(each, ["op_id", "owner"], "left").join(stocked, "owner", "left")
+    return told.select("op_id", "owner", F.when(F.col("_s"), F.coalesce(F.array_join("_m", "\n"), F.lit(""))).otherwise(F.lit(nothing)).alias("message"))
 
 
 def batch_delete(ops: DataFrame, state: DataFrame, kind: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -424,7 +430,7 @@ def batch_delete(ops: DataFrame, state: DataFrame, kind: str) -> tuple[DataFrame
     )
     gone = items.filter("ok").select("owner", "entry_id").distinct()
     survivors = snapshot.join(gone, ["owner", "entry_id"], "left_anti")
-    return survivors, items, _batch_message(items, says["nothing_to_delete"])
+    return survivors, items, _batch_message(ops, items, snapshot, says["nothing_to_delete"])
 
 
 def batch_update(ops: DataFrame, state: DataFrame, kind: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -444,7 +450,7 @@ def batch_update(ops: DataFrame, state: DataFrame, kind: str) -> tuple[DataFrame
     )
     last = items.filter("ok").groupBy("owner", "entry_id").agg(F.max_by("item.content", F.struct("op_id", "pos")).alias("_new"))
     updated = snapshot.join(last, ["owner", "entry_id"], "left").withColumn("content", F.coalesce("_new", "content")).drop("_new")
-    return updated, items, _batch_message(items, says["nothing_to_update"])
+    return updated, items, _batch_message(ops, items, snapshot, says["nothing_to_update"])
 
 
 def status_events(ops: DataFrame, items: DataFrame, messages: DataFrame, verb: str, kind: str = "memory") -> DataFrame:
@@ -458,7 +464,8 @@ def status_events(ops: DataFrame, items: DataFrame, messages: DataFrame, verb: s
     }[verb]
     things = {"memory": "memory", "diary": "diary"}[kind]
     says = MESSAGES[kind]
-    size = F.size("indices" if verb == "delete" else "updates")
+    listed = "indices" if verb == "delete" else "updates"
+    size = F.when(F.col(listed).isNull(), F.lit(0)).otherwise(F.size(listed))
 
     def event(seq: Column, status: Column | str, description: Column, done: bool) -> Column:
         status = F.lit(status) if isinstance(status, str) else status

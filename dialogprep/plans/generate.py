@@ -76,12 +76,12 @@ def _reply(
 
 def generate_conversations(
     seeds: DataFrame, clients: dict[str, Callable[[], Client]], prompts: Prompts, user_id: str, name: str, mantra: str,
-    started_at: str, entries: DataFrame | None = None, max_messages: int = 6, **options,
+    started_at: str, entries: DataFrame | None = None, **options,
 ) -> Generated:
     """Conversations for seeds ``(conv_id, target, prev_question, prev_answer)``.
 
     ``clients`` makes the functions that play tester, assistant and rewriter. ``target`` is
-    even and at most ``max_messages``. A conversation whose question or reply comes back empty
+    even; the rounds go up to the largest one. A conversation whose question or reply comes back empty
     is dropped. Tool calls of a round run in the order of ``conv_id`` on one shared store, and
     the store of a round is what the round before left. The loop runs over rounds only, and
     every round's result is a written table.
@@ -96,6 +96,7 @@ def generate_conversations(
     ).filter("question <> ''")
     said = question.select("conv_id", "turn", F.lit("user").alias("role"), F.col("question").alias("content"))
     targets = question.select("conv_id", "target")
+    max_messages = question.agg(F.max("target")).first()[0] or 0
     for turn in range(1, max_messages, 2):
         at = F.lit(started_at).cast("timestamp") + F.expr(f"make_dt_interval(0, 0, 0, {turn})")
         last_ids = {r["kind"]: r["n"] for r in state.groupBy("kind").agg(F.max("entry_id").alias("n")).collect()}  # three kinds at most

@@ -78,7 +78,10 @@ def _in_file_order(df: DataFrame, out: str = "seq", per: Sequence[str] = ()) ->
     written = durable(df.withColumn("_at", F.monotonically_increasing_id()), "read")
     split = [*per, "_path", "_start"]
     splits = written.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
-    earlier = W.partitionBy(*per).orderBy("_path", "_start").rowsBetween(W.unboundedPreceding, -1)
+    # numbers in names count as numbers: part-100000 comes after part-99999
+    padded = F.regexp_replace("_path", r"(\d+)", "0" * 20 + "$1")
+    natural = F.regexp_replace(padded, r"\d*(\d{20})(?!\d)", "$1")
+    earlier = W.partitionBy(*per).orderBy(natural, "_start").rowsBetween(W.unboundedPreceding, -1)
     offsets = splits.select(*split, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_off"))
     return written.join(broadcast_small(offsets, MAX_BROADCAST_SPLITS), split).withColumn(out, F.col("_at") + F.col("_off")).drop(
         "_at", "_off", "_path", "_start"

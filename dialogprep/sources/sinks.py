@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -50,8 +52,14 @@ def cached(spark: SparkSession, path: str, build: Callable[[], DataFrame], param
     place = f"{path.rstrip('/')}/{fingerprint(params)}"
     if not force_rebuild:
         try:
-            return spark.read.parquet(place)
-        except AnalysisException:
-            pass  # nothing finished there yet
-    build().write.mode("overwrite").parquet(place)
-    return spark.read.parquet(place)
+            newest = spark.read.schema("run string, written double").parquet(f"{place}/manifest").agg(F.max_by("run", "written")).first()[0]
+            if newest is not None:
+                return spark.read.parquet(f"{place}/{newest}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    run = f"run-{uuid.uuid4().hex}"
+    build().write.parquet(f"{place}/{run}")
+    # last: only what the manifest names is ever read, so a build that broke off isn't
+    spark.createDataFrame([(run, time.time())], "run string, written double").coalesce(1).write.mode("append").parquet(f"{place}/manifest")
+    return spark.read.parquet(f"{place}/{run}")

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dialogprep.operators.store import ENTRY_COLUMNS, list_of_call, replay
 from dialogprep.session import durable
+from dialogprep.streaming.steps import next_step, query_of
 
 _LIST = ["kind", "owner"]
 COMPACT_EVERY = 50
@@ -39,10 +40,17 @@ def _state(spark: SparkSession, path: str, base: int, upto: int, lists: DataFram
 
 
 def apply_batch(
-    calls: DataFrame, batch_id: int, path: str, diary_owner: str | None = None, compact_every: int = COMPACT_EVERY, **options
+    calls: DataFrame, batch_id: int, path: str, diary_owner: str | None = None, compact_every: int = COMPACT_EVERY,
+    run: str | None = None, **options
 ) -> None:
-    """Fold one micro-batch into the store below ``path``."""
+    """Fold one micro-batch into the store below ``path``.
+
+    Batches of all runs form one sequence, so a new run (another checkpoint) goes on with the
+    store as it is. One run at a time may write to a path.
+    """
     spark = calls.sparkSession
+    run_batch, run = batch_id, run or query_of(spark)
+    batch_id = next_step(spark, f"{path}/meta", run, run_batch)
     calls = durable(calls, "calls")
     kind, owner = list_of_call(diary_owner)
     touched = calls.select(kind.alias("kind"), owner.alias("owner")).filter("kind is not null").distinct()
@@ -63,17 +71,19 @@ def apply_batch(
     done.outcomes.write.mode("overwrite").parquet(f"{path}/outcomes/batch={batch_id}")
     known = spark.createDataFrame([*last_ids.items(), (None, 0)], "kind string, last_id long")
     used = done.lifetimes.groupBy("kind").agg(F.max("entry_id").alias("last_id")).unionByName(known)
-    used.groupBy("kind").agg(F.max("last_id").alias("last_id")).withColumn("base", F.lit(base)).write.mode("overwrite").parquet(
+    used.groupBy("kind").agg(F.max("last_id").alias("last_id")).withColumns(
+        {"base": F.lit(base), "run": F.lit(run), "run_batch": F.lit(run_batch).cast("long")}
+    ).write.mode("overwrite").parquet(
         f"{path}/meta/batch={batch_id}"
     )
 
 
-def replay_stream(calls: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
-    """Start the query; it ends when the available input is used up."""
+def replay_stream(calls: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, **options) -> StreamingQuery:
+    """Start the query. ``trigger`` is what ``DataStreamWriter.trigger`` takes; by default it ends with the available input."""
     return (
         calls.writeStream.foreachBatch(lambda df, batch_id: apply_batch(df, batch_id, path, **options))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
@@ -86,4 +96,5 @@ def current_entries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def all_outcomes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/outcomes")
+    finished = spark.read.parquet(f"{path}/meta").select("batch").distinct()
+    return spark.read.parquet(f"{path}/outcomes").join(finished, "batch", "left_semi")
