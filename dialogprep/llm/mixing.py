@@ -101,7 +101,7 @@ def planned(sized: DataFrame, id: str = "doc_id", seed: int = SEED, weights: Seq
     epochs = F.sequence(F.lit(0), F.lit(max(0, -int(-most // 1) - 1)))
     start = lambda e: e * F.col("source_size") + F.col("_off") + F.col("_in")
     words = lambda e: F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), goal - start(e)))
-    every = F.transform(epochs, lambda e: F.struct(e.alias("epoch"), words(e).alias("words"), time_of(start(e) / F.col("target"), F.col("rank"), schedules).alias("position")))
+    every = F.transform(epochs, lambda e: F.struct(e.alias("epoch"), words(e).alias("words"), time_of(F.coalesce(F.try_divide(start(e), F.col("target")), F.lit(0.0)), F.col("rank"), schedules).alias("position")))
     out = placed.withColumn("copies", F.filter(every, lambda c: c["words"] > 0))
     out = out.withColumn("taken", F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"]))
     return out.drop("_h", "_b", "_s", "_ob", "_off", "_in", "rank")

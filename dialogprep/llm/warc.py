@@ -215,7 +215,9 @@ class WarcReader(DataSourceReader):
                 return False
         return True
 
-    def read(self, partition: Segment) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Segment | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # what Spark passes where nothing is planned
+            return
         rows, held = [], 0
         for row in self._records(partition):
             rows.append(row)
