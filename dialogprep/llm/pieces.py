@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Solved parts that a task keeps; beyond that it starts afresh. Results don't depend on it.
-KEPT_PARTS = 200_000
+KEPT_PARTS = 100_000
+#: Parts that are solved together.
+SOLVED_PARTS = 8_000
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6  # fixed values: piece types of the file format
 _UNIGRAM = 1
 
@@ -258,8 +260,8 @@ class Encoder:
         if len(self.known) > KEPT_PARTS:
             self.known = {}
         new = list(set().union(*cut) - self.known.keys())
-        for k in range(0, len(new), 20_000):
-            some = new[k : k + 20_000]
+        for k in range(0, len(new), SOLVED_PARTS):
+            some = new[k : k + SOLVED_PARTS]
             self.known.update(zip(some, (ids.tobytes() for ids in solve(self.model, [self.whole(p) for p in some]))))
         known = self.known
         return [np.frombuffer(b"".join([known[p] for p in parts]), np.int32) for parts in cut]
