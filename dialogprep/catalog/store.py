@@ -202,12 +202,17 @@ _LATE = "(select * from events where (ts, event_id) > (select (ts, event_id) fro
 _AFTER = fifo("signup", "error", source=_LATE)
 
 
-@query(f"with {_AFTER} select owner, entry_id, 'm' || event_id as content from m_lives where gone_op is null")
+_BEFORE = """(select count(*) from events where event_type = 'signup' and event_id % 2000 <> 999
+  and (ts, event_id) < (select (ts, event_id) from events where event_id % 2000 = 999 order by ts desc, event_id desc limit 1))"""
+
+
+@query(f"with {_AFTER} select owner, (entry_id + {_BEFORE})::bigint as entry_id, 'm' || event_id as content from m_lives where gone_op is null")
 def reset_store(spark, sf):
     calls = _calls(spark, sf, TOOL_LOG)
     tool = F.when(F.col("op_id") % 2000 == 999, F.lit("reset")).otherwise(F.col("tool"))
-    left = store.after_last_reset(calls.withColumn("tool", tool))
-    return store.replay(left).entries.filter("kind = 'memory'").select("owner", "entry_id", "content")
+    calls = durable(calls.withColumn("tool", tool), "calls")
+    left, used = store.after_last_reset(calls), store.ids_before_reset(calls)
+    return store.replay(left, start_ids=used).entries.filter("kind = 'memory'").select("owner", "entry_id", "content")
 
 
 # ---- batches against one snapshot -----------------------------------------------------------

@@ -22,7 +22,8 @@ TOOLS = (
 
 # One quoted literal on one line, with backslash escapes.
 _LITERAL = r"""(?:"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+')"""
-_LITERAL_LIST = rf"(?s)^\s*{_LITERAL}(?:\s*,\s*{_LITERAL})*+\s*,?\s*$"
+_OTHER = r"[+-]?\d+(?:\.\d*)?|True|False|None"
+_LITERAL_LIST = rf"(?s)^\s*{_LITERAL}(?:\s*,\s*(?:{_LITERAL}|{_OTHER}))*+\s*,?\s*$"
 
 
 def extract_tool_calls(c: Column) -> Column:

@@ -123,6 +123,16 @@ def after_last_reset(ops: DataFrame, tool: str = "tool") -> DataFrame:
     )
 
 
+def ids_before_reset(ops: DataFrame, tool: str = "tool") -> dict[str, int]:
+    """Ids per kind that were used before the last reset: a reset empties the lists, numbering goes on."""
+    place = F.struct(*_CALL_ORDER)
+    last = ops.filter(F.col(tool) == "reset").agg(F.max(place).alias("_reset"))  # one row
+    kind, op = _choose(tool, 0), _choose(tool, 1)
+    stored = (op == "add") & ((F.col(tool) != "add_reminder") | reminder_rejection(F.col("subject"), F.col("body")).isNull())
+    earlier = ops.withColumn("_one", F.lit(1)).join(F.broadcast(last.withColumn("_one", F.lit(1))), "_one").filter(stored & (place < F.col("_reset")))
+    return {r["kind"]: r["count"] for r in earlier.groupBy(kind.alias("kind")).count().collect()}  # three kinds at most
+
+
 def list_of_call(diary_owner: str | None = None) -> tuple[Column, Column]:
     """Kind and owner of the list that a call works on; the kind is null for other calls."""
     kind = _choose("tool", 0)
