@@ -31,7 +31,7 @@ CELLS = 32
 GROUP_DIGESTS = 40
 RETRIES = 5
 ROUNDS = 16
-PARAGRAPH = r"(?m)[^\n]{64,192}?(?:[.!?](?=\s)|$)|[^\n]{1,192}"
+PARAGRAPH = r"(?m)[^\n]{96,256}?(?:[.!?](?=\s)|$)|[^\n]{1,256}"
 _NO_ID = -(2**63)
 
 
@@ -68,7 +68,8 @@ def _put(cells: Column, at: Column, k: Column, n: Column) -> Column:
     """``cells`` with digest ``k`` xor-ed into cell ``at`` and ``n`` added to its count."""
     old = F.get(cells, at)
     new = F.struct((old["n"] + n).alias("n"), old["k"].bitwiseXOR(k).alias("k"))
-    return F.concat(F.slice(cells, F.lit(1), at), F.array(new), F.slice(cells, at + 2, F.lit(CELLS)))
+    # flatten copies stretches of an array at once, concat goes element by element
+    return F.flatten(F.array(F.slice(cells, F.lit(1), at), F.array(new), F.slice(cells, at + 2, F.lit(CELLS))))
 
 
 def _put_all(sketch: Column, hashed: Column, sign: int) -> Column:
@@ -142,7 +143,8 @@ def _compare(a: Column, b: Column, groups: Column, seed: Column) -> Column:
     part = lambda hashed, g: F.filter(hashed, lambda x: above(x["h"]) == g)
     both = F.array(F.struct(_hashed(a, seed).alias("a"), _hashed(b, seed).alias("b")))
     each = F.get(F.transform(both, lambda s: F.transform(F.sequence(_long(0), groups - 1), lambda g: peel(
-        subtract(_put_all(_empty(), part(s["a"], g), 1), _put_all(_empty(), part(s["b"], g), 1)), seed))), F.lit(0))
+        # the cells of the second are subtracted as they are filled
+        _put_all(_put_all(_empty(), part(s["a"], g), 1), part(s["b"], g), -1), seed))), F.lit(0))
     zero = F.struct(F.lit(True).alias("ok"), F.lit(0).alias("plus"), F.lit(0).alias("minus"))
     return F.aggregate(each, zero, lambda s, r: F.struct(
         (s["ok"] & r["ok"]).alias("ok"), (s["plus"] + F.size(r["plus"])).alias("plus"), (s["minus"] + F.size(r["minus"])).alias("minus")))
@@ -173,7 +175,7 @@ def likeness(rows: DataFrame, a: str, b: str, sketch_a: str, sketch_b: str, out:
 def as_text(sk: Column) -> Column:
     """A sketch as hex: four digits of count and sixteen of xor-ed digests per cell."""
     cell = lambda c: F.concat(F.lpad(F.hex(c["n"].bitwiseAND(F.lit(0xFFFF))), 4, "0"), F.lpad(F.hex(c["k"]), 16, "0"))
-    return F.lower(F.array_join(F.transform(F.concat(*[sk[f"t{j}"] for j in range(3)]), cell), ""))
+    return F.lower(F.array_join(F.transform(F.flatten(F.array(*[sk[f"t{j}"] for j in range(3)])), cell), ""))
 
 
 def _links(base: DataFrame) -> DataFrame:
