@@ -31,3 +31,13 @@ def test_stalls_of_a_stream_equal_those_of_the_table(spark, tmp_path):
     found = sorted(map(tuple, stalls_between(spark.table("activity")).collect()))
     assert found == sorted(map(tuple, stalls(df).collect()))
     assert [((b - a).total_seconds() / 60) for a, b in found] == [39, 88, 31]
+
+
+def test_a_new_run_goes_on_where_the_last_one_ended(spark, tmp_path):
+    out = str(tmp_path / "saved")
+    part = lambda a, b: spark.createDataFrame([(0, i, 100 + i) for i in range(a, b)], LOG)
+    save_batch(part(0, 2), 0, out, run="one", existing=40)
+    save_batch(part(2, 3), 0, out, run="two")
+    save_batch(part(2, 3), 0, out, run="two")
+    rows = stored_conversations(spark, out).orderBy("n").collect()
+    assert [(r.n, r.conv_id) for r in rows] == [(41, 100), (42, 101), (43, 102)]
