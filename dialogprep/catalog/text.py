@@ -37,24 +37,26 @@ def _each(spark, sf, **columns):
     return _replies(spark, sf).select("conv_id", "turn", *[c.alias(n) for n, c in columns.items()])
 
 
-_C = F.col("content")
+def _content():
+    return F.col("content")
+
 _BLOCK = f"'<think>' || chr(10) || '<self>{MANTRA}</self>' || chr(10) || "
 
 
 @query(f"select conv_id, turn, {_visible()} as visible from ({_M})")
 def strip_thinking(spark, sf):
-    return _each(spark, sf, visible=text.strip_thinking(_C))
+    return _each(spark, sf, visible=text.strip_thinking(_content()))
 
 
 @query(f"""select conv_id, turn, {_clean('c')} as visible
 from (select *, content || '<self> {MANTRA}' || chr(10) || '</self> end ' as c from ({_M}))""")
 def clean_visible(spark, sf):
-    return _each(spark, sf, visible=text.clean_visible(F.concat(_C, F.lit(f"<self> {MANTRA}\n</self> end ")), MANTRA))
+    return _each(spark, sf, visible=text.clean_visible(F.concat(_content(), F.lit(f"<self> {MANTRA}\n</self> end ")), MANTRA))
 
 
 @query(f"select conv_id, turn, {_BLOCK} content || chr(10) || '</think>' as block from ({_M})")
 def thinking_block(spark, sf):
-    return _each(spark, sf, block=text.thinking_block(_C, MANTRA))
+    return _each(spark, sf, block=text.thinking_block(_content(), MANTRA))
 
 
 _SPLIT = f"""
@@ -66,7 +68,7 @@ from (select *, instr(rest, '</think>') as e, s > 0 and instr(rest, '</think>')
 
 @query(f"select conv_id, turn, thinking, answer from ({_SPLIT})")
 def split_thinking(spark, sf):
-    parts = text.split_thinking(_C)
+    parts = text.split_thinking(_content())
     return _each(spark, sf, thinking=parts["thinking"], answer=parts["answer"])
 
 
@@ -78,12 +80,12 @@ _REWRITE = "case when turn % 4 = 1 then '' else 'Hm, the user asks </think>. The
   || chr(10) || '</think>' || chr(10) || chr(10) || {_clean('answer')} as reply
 from (select *, {_REWRITE} as rw from ({_SPLIT}))""")
 def assemble_reply(spark, sf):
-    return _each(spark, sf, reply=text.assemble_reply(_C, F.expr(_REWRITE), NAME, MANTRA))
+    return _each(spark, sf, reply=text.assemble_reply(_content(), F.expr(_REWRITE), NAME, MANTRA))
 
 
 @query(f"select conv_id, turn, replace(replace(content, 'the user', '{NAME}'), 'The user', '{NAME}') as renamed from ({_M})")
 def rename_user(spark, sf):
-    return _each(spark, sf, renamed=text.rename_user(_C, NAME))
+    return _each(spark, sf, renamed=text.rename_user(_content(), NAME))
 
 
 @query(f"""select conv_id, turn, case when s > 0 and e > 0 and rw <> '' then substr(content, 1, s - 1) || '<think>' || chr(10) ||
@@ -92,23 +94,23 @@ def rename_user(spark, sf):
 from (select *, instr(rest, '</think>') as e, {_REWRITE} as rw
   from (select *, instr(content, '<think>') as s, substr(content, instr(content, '<think>') + 7) as rest from ({_M})))""")
 def replace_thinking(spark, sf):
-    return _each(spark, sf, reply=text.replace_thinking(_C, F.expr(_REWRITE), NAME))
+    return _each(spark, sf, reply=text.replace_thinking(_content(), F.expr(_REWRITE), NAME))
 
 
 @query(f"""select conv_id, turn, {_strip("coalesce(nullif(case when instr(content, m) > 0 then substr(content, instr(content, m) + 10) end, ''), content)")} as question
 from (select *, '</think>' || chr(10) || chr(10) as m from ({_M}))""")
 def extract_question(spark, sf):
-    return _each(spark, sf, question=text.extract_question(_C))
+    return _each(spark, sf, question=text.extract_question(_content()))
 
 
 @query(f"select conv_id, turn, contains(content, '<think>') as has_thinking from ({_M})")
 def has_thinking(spark, sf):
-    return _each(spark, sf, has_thinking=text.has_thinking(_C))
+    return _each(spark, sf, has_thinking=text.has_thinking(_content()))
 
 
 @query(f"select conv_id, turn, substr(content, 1, 80) || '...' as preview from ({_LOG})")
 def preview_text(spark, sf):
-    return view(spark, sf, MESSAGE_LOG).select("conv_id", "turn", text.preview_text(_C).alias("preview"))
+    return view(spark, sf, MESSAGE_LOG).select("conv_id", "turn", text.preview_text(_content()).alias("preview"))
 
 
 def _payload(*parts: tuple[str, str]) -> str:
@@ -123,14 +125,14 @@ def request_payload(spark, sf):
 
     tool = F.concat(F.lit("T"), F.col("turn").cast("string"))
     return _each(
-        spark, sf, short=lines(request_messages(F.lit("S"), _C)), long=lines(request_messages(F.lit("S"), F.lit("Q"), _C, tool))
+        spark, sf, short=lines(request_messages(F.lit("S"), _content())), long=lines(request_messages(F.lit("S"), F.lit("Q"), _content(), tool))
     )
 
 
 @query(f"select conv_id, turn, case when turn % 3 = 0 then content else content || chr(10) || 'and ' || turn end as reply from ({_M})")
 def splice_continuation(spark, sf):
     more = F.expr("case when turn % 3 = 0 then '' else concat('and ', turn) end")
-    return _each(spark, sf, reply=text.splice(_C, more))
+    return _each(spark, sf, reply=text.splice(_content(), more))
 
 
 # ---- tool calls -----------------------------------------------------------------------------
@@ -144,7 +146,7 @@ _TOOL = "case " + " ".join(f"when contains(call, '{t}') then '{t}'" for t in too
 
 def _tool_rows(spark, sf):
     rows = view(spark, sf, TOOL_LOG)
-    return rows.select("op_id", F.posexplode(toolcalls.extract_tool_calls(_C)).alias("call_pos", "call")).withColumn(
+    return rows.select("op_id", F.posexplode(toolcalls.extract_tool_calls(_content())).alias("call_pos", "call")).withColumn(
         "call_pos", F.col("call_pos").cast("long")
     )
 
