@@ -133,7 +133,9 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, place: np.ndarray, firs
     """Bytes that each sorted suffix shares with the one before it, up to ``limit``.
 
     Kasai's rule: a suffix shares at most one byte less than the suffix that begins one byte earlier.
-    All pieces (``firsts``, ``sizes``) advance together, one byte at a time.
+    It holds where what follows that suffix's neighbour stands before the suffix. Neighbours that were
+    left in the order of their places may break this (the text goes on with the smaller byte in the
+    latter); there counting begins at 0. All pieces (``firsts``, ``sizes``) advance together, one byte at a time.
     """
     n = len(data)
     padded = np.concatenate([data, np.zeros(limit + 8, np.uint8)])
@@ -148,6 +150,9 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, place: np.ndarray, firs
         p = firsts[lanes] + step
         q = before[p]
         h = np.where(q >= 0, np.maximum(shared[lanes] - 1, 0), 0)
+        if step:
+            after = np.minimum(before[p - 1] + 1, n - 1)  # of a suffix without a neighbour nothing is carried over
+            h[place[after] > place[p]] = 0
         live = np.flatnonzero((q >= 0) & (h < limit))
         while len(live):
             a, b = p[live] + h[live], q[live] + h[live]

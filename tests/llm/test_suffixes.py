@@ -85,3 +85,19 @@ def test_shards_merge_by_binary_search():
         starts = [f + k for f, s in zip(own.firsts.tolist(), own.sizes.tolist()) for k in range(s - 49)]
         inside = [q for f, s in zip(other.firsts.tolist(), other.sizes.tolist()) for q in [other.raw[f + k : f + k + 50] for k in range(s - 49)]]
         assert {int(p) for p in np.flatnonzero(found)} == {p for p in starts if own.raw[p : p + 50] in set(inside)}
+
+
+def test_long_shared_stretches_whose_order_ends_early():
+    """Pairs of pieces share 520 to 640 bytes, more than the order looks at, and go on either way; no other 400 bytes are repeated."""
+    r = random.Random(9)
+    text = lambda n: bytes(r.choice(b"ab") for _ in range(n))
+    for _ in range(8):
+        pieces = []
+        for _ in range(20):
+            shared = text(r.randint(520, 640))
+            pieces += [text(r.randint(0, 60)) + shared + b"b" + text(r.randint(400, 500)), text(r.randint(0, 60)) + shared + b"a" + text(r.randint(400, 500))]
+        r.shuffle(pieces)
+        shard = suffixes.Shard(pieces, 400)
+        seen = Counter(p[k : k + 400] for p in pieces for k in range(len(p) - 399))
+        want = [f + k for p, f in zip(pieces, shard.firsts.tolist()) for k in range(len(p) - 399) if seen[p[k : k + 400]] > 1]
+        assert np.flatnonzero(shard.twice).tolist() == want
