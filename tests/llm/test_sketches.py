@@ -62,3 +62,11 @@ def test_peeling_recovers_the_difference(spark, n, common):
         assert (sorted(first.p.plus), sorted(first.p.minus)) == (sorted(first.a), sorted(first.b))
     near = sketches.likeness(rows, "x", "y", "sx", "sy", "near").first().near
     assert near == pytest.approx(common / (common + n + n // 2) if common + n else 1.0)
+
+
+def test_one_line_is_cut_at_sentence_ends(spark):
+    """The lengths are written out, so that coarser paragraphs are noticed."""
+    short, long = "a line whose first sentence has over sixty-four letters or so in all. And twenty-four more here.", "word " * 60
+    docs = documents(spark, [(1, short, "en", "s"), (2, long, "en", "s"), (3, "other", "en", "s")])
+    got = {r.id: r for r in sketches.fingerprinted(docs).collect()}
+    assert got[1].near_edited == pytest.approx(1 / 3) and got[2].near_edited == pytest.approx(1 / 3)
