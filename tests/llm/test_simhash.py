@@ -81,3 +81,33 @@ def test_one_of_each_group_stays(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["13", "3", "None"]
     assert kept.columns == documents(spark, rows, clash=["fp"]).columns
     assert simhash.first_of_each(empty(spark)).count() == 0
+
+
+def test_kept_documents_equal_exact_jaccard(spark):
+    """Copies at similarities of 0.6 to 0.95, and texts that repeat a common part very often: each pair alone decides."""
+    import random
+
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(6))
+    held = lambda t: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)}
+    rows, want = [], set()
+    common = [word() for _ in range(6)] * 60
+    for k in range(160):
+        base = [word() for _ in range(200)]
+        other = [*base[: 200 - r.randint(6, 50)]]
+        other += [word() for _ in range(200 - len(other))]
+        if k % 8 == 0:
+            base, other = common + base[:40], common + other[-40:]
+        pair = " ".join(base), " ".join(other)
+        rows += [(2 * k, pair[0], "en", "s"), (2 * k + 1, pair[1], "en", "s")]
+        a, b = map(held, pair)
+        want |= {2 * k} if len(a & b) / len(a | b) >= 0.8 else {2 * k, 2 * k + 1}
+    assert 200 < len(want) < 300
+    got = simhash.first_of_each(documents(spark, rows))
+    assert {x.doc_id for x in got.collect()} == want
+
+
+def test_another_text_under_an_id_stays(spark):
+    rows = [(3, prose(77, 300), "en", "s"), (5, prose(77, 300) + " end", "en", "s"), (5, prose(78, 300), "en", "s")]
+    got = simhash.first_of_each(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(3, rows[0][1]), (5, rows[2][1])]
