@@ -17,7 +17,7 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line rules or the base rules reject go."""
+    """Lines that fail go, and documents that the line rules or the base rules reject."""
     return quality.accepted(docs)
 
 

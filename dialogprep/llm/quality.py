@@ -8,6 +8,7 @@ is shuffled.
 
 Null text counts as empty; an empty text has no words and fails the base rule. Repeated rows are
 judged alike, and other columns pass through untouched (columns named like an output are replaced).
+``accepted`` keeps all columns, and takes the failing lines out of the texts that pass.
 """
 
 from __future__ import annotations
@@ -120,8 +121,24 @@ def score(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> Da
         "_words", "_lines", "_hashes", "_n", "_bits", "_longs", "_distinct", "_good")
 
 
-def accepted(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> DataFrame:
-    """The rows of ``docs`` that pass, with their columns and texts as they were."""
+def without_failing_lines(text: Column) -> Column:
+    """``text`` without the lines that fail. Lines without words and repeated lines stay."""
+    def stays(x: Column) -> Column:
+        n = F.size(words(x))
+        return (n == 0) | ~line_fails(x, n, count_of(x, SYMBOLS))
+
+    return F.array_join(F.filter(F.split(text, "\n"), stays), "\n")
+
+
+def accepted(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST, length: str = "n_chars") -> DataFrame:
+    """The rows of ``docs`` that pass, with their columns, their texts without the lines that fail.
+
+    ``length``, where there is such a column, follows a text that has lost lines.
+    """
     scored = score(docs.withColumn("_row", F.struct("*")), text, max_lost)
     # the id keeps the filter above the steps that share their results
-    return scored.withColumn("_at", F.monotonically_increasing_id()).filter(F.col("kept") & (F.col("_at") >= 0)).select("_row.*")
+    kept = scored.withColumn("_at", F.monotonically_increasing_id()).filter(F.col("kept") & (F.col("_at") >= 0)).select("_row.*", F.col("lost").alias("_lost"))
+    out = kept.withColumn(text, F.when(F.col("_lost") > 0, without_failing_lines(F.col(text))).otherwise(F.col(text)))
+    if length in docs.columns:
+        out = out.withColumn(length, F.when(F.col("_lost") > 0, F.length(text).cast(docs.schema[length].dataType)).otherwise(F.col(length)))
+    return out.select(docs.columns)

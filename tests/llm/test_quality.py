@@ -54,3 +54,15 @@ def test_long_repeated_text(spark):
     text = prose(1, 300) + " " + prose(1, 300)
     got = quality.score(documents(spark, [(1, text, "en", "s")])).first()
     assert got.n_repeat_words == counts(text)[4]
+
+
+def test_accepted_texts_lose_failing_lines_only(spark):
+    import random
+
+    r = random.Random(3)
+    lines = [" ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(20)).capitalize() + "." for _ in range(5)]
+    good = "\n".join([lines[0], "", lines[1], lines[2], lines[3], lines[4], lines[0]])
+    bad = good.replace("\n\n", "\nHome | About | Contact | Help\n\nThis site uses cookies.\n") + "\nRead more"
+    docs = documents(spark, [(1, good, "en", "s"), (2, bad, "en", "s")]).selectExpr("*", "length(text) as n_chars")
+    got = {x.doc_id: (x.text, x.n_chars) for x in quality.accepted(docs).collect()}
+    assert got == {1: (good, len(good)), 2: (good, len(good))}
