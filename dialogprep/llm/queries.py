@@ -155,3 +155,19 @@ def op1_license_scans(spark, sf_dir):
         F.array_join(F.array_sort(F.array_distinct(F.col("licences.family"))), ",").alias("families"),
         F.array_max(F.col("licences.probability")).alias("probability"),
         F.array_join(F.transform("licences", lambda r: F.concat_ws(":", r["paragraph"], r["family"])), ",").alias("paragraphs"))
+
+
+EXACT_SQL = """
+with d as (select doc_id, coalesce(text, '') as content from documents),
+g as (select content, max(doc_id) as keep_id, count(*)::bigint as group_size from d group by content)
+select doc_id, keep_id, group_size, coalesce(doc_id = keep_id, keep_id is null) as kept, sha256(content) as text_sha256 from d join g using (content)"""
+
+
+@query(EXACT_SQL)
+def op13_exact_dedup(spark, sf_dir):
+    from dialogprep.llm import exact
+
+    found = exact.groups_of(documents(spark, sf_dir))
+    return found.select(
+        F.col("id").alias("doc_id"), "keep_id", F.col("size").alias("group_size"), exact.stays(F.col("id"), F.col("keep_id")).alias("kept"),
+        F.lower(F.hex("digest")).alias("text_sha256"))
