@@ -171,3 +171,43 @@ def op13_exact_dedup(spark, sf_dir):
     return found.select(
         F.col("id").alias("doc_id"), "keep_id", F.col("size").alias("group_size"), exact.stays(F.col("id"), F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+# DuckDB has no crc32: the bits of each character's byte go through the polynomial one by one
+MANIFEST_SQL = r"""
+with recursive d as (select *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low,
+  coalesce(xor(4294967295, list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, e: case when e >= 0 then xor(a, e) when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end)) % 3 = 0, false) as touched from documents),
+h as (select *, coalesce(strlen(doc_id::varchar)::varchar || ':' || doc_id::varchar, '-') || coalesce(strlen(source)::varchar || ':' || source, '-')
+  || coalesce(strlen(lang)::varchar || ':' || lang, '-') || coalesce(strlen(n_chars::varchar)::varchar || ':' || n_chars::varchar, '-') as head from d),
+l as (select doc_id, lang, sha256(head || coalesce(strlen(text)::varchar || ':' || text, '-')) as leaf,
+  sha256(head || case when touched then coalesce(strlen(low)::varchar || ':' || low, '-') else coalesce(strlen(text)::varchar || ':' || text, '-') end) as claimed,
+  row_number() over (partition by lang order by doc_id nulls first) - 1 as pos, count(*) over (partition by lang) as n from h),
+nodes as (select lang, 0 as lev, pos, n, leaf as dig from l
+  union all select lang, lev + 1, pos // 8, (n + 7) // 8, sha256(string_agg(dig, '' order by pos)) from nodes where n > 1 group by lang, lev, pos // 8, n),
+subs as (select lang, dig as subroot, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as n from nodes where n = 1),
+up as (select 0 as lev, pos, n, subroot as dig from subs
+  union all select lev + 1, pos // 8, (n + 7) // 8, sha256(string_agg(dig, '' order by pos)) from up where n > 1 group by lev, pos // 8, n),
+sib as (select lang, lev, pos, coalesce(string_agg(dig, '') over (w rows between unbounded preceding and 1 preceding), '') as a,
+  coalesce(string_agg(dig, '') over (w rows between 1 following and unbounded following), '') as b from nodes where n > 1 window w as (partition by lang, lev, pos // 8 order by pos)),
+upsib as (select lev, pos, coalesce(string_agg(dig, '') over (w rows between unbounded preceding and 1 preceding), '') as a,
+  coalesce(string_agg(dig, '') over (w rows between 1 following and unbounded following), '') as b from up where n > 1 window w as (partition by lev, pos // 8 order by pos)),
+walk as (select doc_id, lang, 0 as lev, pos, claimed as cur, '' as shown from l
+  union all select w.doc_id, w.lang, w.lev + 1, w.pos // 8, sha256(s.a || w.cur || s.b), w.shown || s.a || s.b
+  from walk w join sib s on w.lang is not distinct from s.lang and w.lev = s.lev and w.pos = s.pos),
+walked as (select doc_id, lang, arg_max(cur, lev) as cur, arg_max(shown, lev) as shown from walk group by doc_id, lang),
+rest as (select doc_id, w.lang, 0 as lev, s.pos, cur, shown from walked w join subs s on w.lang is not distinct from s.lang
+  union all select r.doc_id, r.lang, r.lev + 1, r.pos // 8, sha256(s.a || r.cur || s.b), r.shown || s.a || s.b from rest r join upsib s on r.lev = s.lev and r.pos = s.pos),
+done as (select doc_id, lang, arg_max(cur, lev) as folded_root, arg_max(shown, lev) as shown from rest group by doc_id, lang)
+select l.doc_id, leaf, subroot, (select dig from up where n = 1) as root, sha256(shown) as proof_sha256, folded_root, folded_root = (select dig from up where n = 1) as verified
+from done join l on done.doc_id is not distinct from l.doc_id and done.lang is not distinct from l.lang join subs on done.lang is not distinct from subs.lang"""
+
+
+@query(MANIFEST_SQL)
+def op11_merkle_manifest(spark, sf_dir):
+    from dialogprep.llm import manifest
+
+    said = [F.col(f) for f in manifest.FIELDS[:-1]] + [F.when(manifest.every_third(F.col("doc_id")), manifest.lowered(F.col("text"))).otherwise(F.col("text"))]
+    found = manifest.manifest(documents(spark, sf_dir), claimed=said)
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
