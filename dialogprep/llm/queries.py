@@ -211,3 +211,31 @@ def op11_merkle_manifest(spark, sf_dir):
     found = manifest.manifest(documents(spark, sf_dir), claimed=said)
     return found.select(
         F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+DIVERGENCE_SQL = r"""
+with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+g as (select distinct lang, source from d),
+w as (select r, lang, source, unnest(terms) as term from d),
+c as (select lang, source, term, count(*) as n, count(distinct r) as docs from w group by all),
+k as (select lang, term, sum(n)::bigint as total from c group by lang, term having sum(docs) >= 10),
+v as (select lang, count(*) as v, sum(total)::bigint as n from k group by lang),
+s as (select lang, source, sum(n)::bigint as n from c join k using (lang, term) group by lang, source),
+p as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n, (1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (coalesce(s.n, 0) + 2 * v.v))::bigint as p,
+    (1 + (1000000000::hugeint * (k.total + 2)) // (v.n + 2 * v.v))::bigint as q
+  from g join k using (lang) join v using (lang) left join s using (lang, source) left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+f as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::bigint as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(f.value, 0)::bigint as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source left join f on f.lang = a.lang and f.source = a.source and f.item = b.source),
+terms as (select lang, source, 'term' as part, term as item, ((p - q) * (p - q) // (p + q))::bigint as value from p where n > 0 and p > q)
+select *, (row_number() over (partition by lang, source order by value desc, item))::int as rank from pairs
+union all select * from (select *, (row_number() over (partition by lang, source order by value desc, item))::int as rank from terms) where rank <= 10"""
+
+
+@query(DIVERGENCE_SQL)
+def op12_source_divergence(spark, sf_dir):
+    from dialogprep.llm import divergence
+
+    return divergence.audited(documents(spark, sf_dir))
