@@ -11,8 +11,8 @@ The copy that reaches the target is cut there, so a source's taken words equal i
 down. Running sums go by (source, hash bucket), so a source with a third of all rows is spread
 over thousands of windows; only bucket totals meet per source. Rows of equal id and text are
 interchangeable, and equal ids with different texts are ordered by size. A null source is a source
-of its own and the last; a null or empty text has size 0 and is taken 0 times. An empty table
-gives an empty mix. Other columns pass through; columns named like an output are replaced.
+of its own and the last; a null or empty text has size 0 and is taken 0 times. A very long text is
+counted and taken like any other. An empty table gives an empty mix. Other columns pass through; columns named like an output are replaced.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from dialogprep.operators.order import seeded_hash
+from dialogprep.session import durable
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -81,10 +82,11 @@ def time_of(share: Column, rank: Column, schedules: Sequence = SCHEDULES) -> Col
 
 
 def planned(sized: DataFrame, id: str = "doc_id", seed: int = SEED, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
-            most: float = MOST, schedules: Sequence = SCHEDULES) -> DataFrame:
+            most: float = MOST, schedules: Sequence = SCHEDULES, ties: Sequence[str] = ()) -> DataFrame:
     """Add ``source_size``, ``target``, ``taken`` and ``copies`` to rows with ``source`` and ``size``.
 
-    ``copies`` lists ``(epoch, words, position)`` of every copy that the mix takes.
+    ``copies`` lists ``(epoch, words, position)`` of every copy that the mix takes. ``ties`` names further
+    columns that order rows of equal id and size.
     """
     goals = source_targets(sized.select("source", "size"), weights, share, most)
     rows = sized.drop("source_size", "target", "taken", "copies", "rank").withColumn("_h", seeded_hash(seed, F.coalesce(F.col(id).cast("string"), F.lit("")))).withColumn(
@@ -94,7 +96,7 @@ def planned(sized: DataFrame, id: str = "doc_id", seed: int = SEED, weights: Seq
     offsets = totals.select(F.col("source").alias("_s"), F.col("_b").alias("_ob"), F.coalesce(F.sum("_t").over(along), F.lit(0)).alias("_off"))
     goals = goals.withColumnRenamed("source", "_gs")
     offsets = offsets.join(goals, F.col("_s").eqNullSafe(F.col("_gs"))).drop("_gs")
-    inside = W.partitionBy("source", "_b").orderBy("_h", id, "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("source", "_b").orderBy("_h", id, "size", *ties).rowsBetween(W.unboundedPreceding, -1)
     placed = rows.withColumn("_in", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
         offsets, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_ob")))
     goal = F.floor("target")
@@ -110,8 +112,19 @@ def planned(sized: DataFrame, id: str = "doc_id", seed: int = SEED, weights: Seq
 def mixed(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: one row per copy, sorted by training position.
 
-    The copy in which a source reaches its target is passed whole.
+    The copy in which a source reaches its target is passed whole. The plan is made on ids, sources,
+    sizes and check sums; texts join it once and are sorted once. Of rows with equal id, source and text
+    the first one stands for all of them, and is taken as often as all of them are.
     """
-    sized = docs.select(F.struct("*").alias("_row"), F.col(id).alias("_id"), F.col(source).alias("source"), size_of(F.col(text)).alias("size"))
-    copies = planned(sized, id="_id", **options).select("_row", "_id", F.explode("copies").alias("_c"))
-    return copies.orderBy("_c.position", "_id", "_c.epoch").select("_row.*")
+    key = [F.col(id).alias("id"), F.col(source).alias("source"), F.xxhash64(text).alias("content")]
+    sized = durable(docs.select(*key, size_of(F.col(text)).alias("size")), "sizes")
+    copies = planned(sized, ties=["content"], **{"id": "id", **options}).select("id", "source", "content", F.explode("copies").alias("c"))
+    copies = durable(copies.select("id", "source", "content", "c.position", "c.epoch"), "copies")
+    same = lambda a, b: a["id"].eqNullSafe(b["id"]) & a["source"].eqNullSafe(b["source"]) & (a["content"] == b["content"])
+    rows = docs.select(F.struct("*").alias("row"), *key)
+    twice = durable(sized.groupBy("id", "source", "content").count().filter("count > 1").drop("count"), "twice")
+    if not twice.isEmpty():
+        one = rows.join(twice, same(rows, twice), "left_semi").groupBy("id", "source", "content").agg(F.min_by("row", F.to_json("row")).alias("row"))
+        rows = rows.join(twice, same(rows, twice), "left_anti").unionByName(one)
+    taken = rows.join(copies, same(rows, copies)).select("row", copies["id"], "position", "epoch")
+    return taken.orderBy("position", "id", "epoch").select("row.*")
