@@ -1,12 +1,14 @@
 """Secret scans with structural confirmation.
 
 Base kinds (``assign``, ``access``, ``hex``) are patterns. Beyond them, runs that could be encoded
-keys are decoded from base64 or hex and reported only if their structure holds: DER keys whose
-nested lengths add up, OpenSSH key files whose length-prefixed fields do, and signed tokens whose
+keys are decoded from base64 or hex and reported only if their structure holds: DER keys, plain or
+encrypted, whose nested lengths add up, key files sealed by header lines that name the cipher and hold
+whole cipher blocks, OpenSSH key files whose length-prefixed fields do, and signed tokens whose
 header and claims are JSON objects and whose header names an algorithm.
 
 A row is handled on its own, so nothing is shuffled and no key can be hot. Null text counts as
-empty and has no spans; very long texts are scanned whole; repeated rows give the same result.
+empty and has no spans; very long texts are scanned whole; repeated rows give the same result. An
+empty table gives no rows.
 Spans count code points, with exclusive ends. Other columns pass through untouched (columns named
 like an output are replaced).
 """
@@ -25,13 +27,18 @@ from pyspark.sql import functions as F
 
 # fixed values: the kinds in their order, and the patterns of the base ones
 KINDS = ("assign", "access", "hex", "signed_token", "pem_key", "der_key", "ssh_key")
+N_BASE = 3
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ASSIGN_WORDS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-TOKEN = re.compile(r"(?<![\w.-])eyJ[\w-]+\.[\w-]+\.[\w-]*(?![\w-])", re.A)
+# line ends may be written out as \n or \r, as in quoted strings
+PEM = re.compile(
+    r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----((?:(?:\s|\\[nr])+(?:Proc-Type|DEK-Info):[^\r\n\\]*)*)((?:[A-Za-z0-9+/=\s]|\\[nr])+)-----END \1-----")
+CIPHER = re.compile(r"DEK-Info:\x20*[A-Z0-9]+(?:-[A-Z0-9]+)*,(?:[0-9A-Fa-f]{2}){8,}\s*(?:\\[nr])?")
+#: The first two letters are those of an opening brace.
+TOKEN = re.compile(r"(?<![\w.-])e[w-z0-9_-][\w-]+\.[\w-]+\.[\w-]*(?![\w-])", re.A)
 ENCODED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{40,}={0,2}")
 LONG_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{2}){32,}(?![0-9A-Za-z])")
 
@@ -97,6 +104,9 @@ def is_der_key(data: bytes) -> bool:
     if outer is None or outer[0] != _SEQUENCE or outer[2] != len(data):
         return False
     parts = _elements(data, outer[1], outer[2])
+    if parts and [t for t, _, _ in parts] == [_SEQUENCE, _OCTETS]:  # encrypted: a scheme with its parameters, then the wrapped key
+        scheme = _elements(data, parts[0][1], parts[0][2])
+        return scheme is not None and [t for t, _, _ in scheme] == [_OBJECT, _SEQUENCE] and parts[1][2] - parts[1][1] >= 32
     if not parts or parts[0][0] != _INTEGER or parts[0][2] - parts[0][1] != 1:
         return False
     tags = [t for t, _, _ in parts]
@@ -155,11 +165,12 @@ def structural_spans(text: str) -> list[Span]:
     found: list[Span] = []
     if "-----BEGIN" in text:
         for m in PEM.finditer(text):
-            if _key_kind(_decode("".join(m[2].split()))):
+            body = _decode("".join(re.sub(r"\\[nr]", " ", m[3]).split()))
+            sealed = body and "ENCRYPTED" in m[2] and CIPHER.search(m[2]) and len(body) >= 32 and len(body) % 8 == 0  # whole cipher blocks
+            if sealed or _key_kind(body):
                 found.append((m.start(), m.end(), "pem_key"))
     covered = [(a, b) for a, b, _ in found]
-    if "eyJ" in text:
-        found += [(m.start(), m.end(), "signed_token") for m in TOKEN.finditer(text) if is_signed_token(m[0])]
+    found += [(m.start(), m.end(), "signed_token") for m in TOKEN.finditer(text) if is_signed_token(m[0])]
     for m in ENCODED.finditer(text):
         if not any(a <= m.start() < b for a, b in covered) and (kind := _key_kind(_decode(m[0]))):
             found.append((m.start(), m.end(), kind))
@@ -179,15 +190,23 @@ def spans(text: str | None) -> list[Span]:
 
 
 def redact(text: str | None) -> str | None:
-    """``text`` with every span (overlapping ones together) replaced by ``[kind]`` of the first."""
+    """``text`` with every span (overlapping ones together) replaced by a mark.
+
+    The mark names the kind of the longest span; of equally long ones a confirmed structure's, then the first.
+    """
     if not text:
         return text
-    out, at = [], 0
+    out, at, best = [], 0, None
     for start, end, kind in spans(text):
         if start >= at:
-            out += [text[at:start], f"[{kind}]"]
+            out += [f"[{best[2]}]"] if best else []
+            out.append(text[at:start])
+            best = None
+        weight = (end - start, _RANK[kind] >= N_BASE)
+        if best is None or weight > best[:2]:
+            best = (*weight, kind)
         at = max(at, end)
-    return "".join([*out, text[at:]]) if at else text
+    return "".join([*out, f"[{best[2]}]", text[at:]]) if best else text
 
 
 # ---- over tables

