@@ -17,7 +17,8 @@ A text that occurs more than once as a whole is removed without any of this, and
 What meets in one task is a document's own anchors, or a shard of ``SHARD_BYTES``.
 
 Null text counts as empty. Texts below ``length`` bytes lose nothing. Repeated rows are copies of
-each other. Rows are known by their text, so ids may repeat or be null. Other columns are not read.
+each other. Rows are known by their text, so ids may repeat or be null. Very long texts are read whole,
+one at a time. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,6 +37,9 @@ from dialogprep.session import durable
 LENGTH = 400
 GRAM = 160
 SHARD_BYTES = 256 << 10
+#: Sorting costs seconds for each MB, so tasks are cut by these bytes of pieces, not by what a shuffle writes.
+TASK_BYTES = 1 << 20
+MAX_TASKS = 32_768
 _B = 0x5851F42D4C957F2D
 
 
@@ -272,12 +276,14 @@ def _repeats(pieces: DataFrame, length: int, shard_bytes: int) -> DataFrame:
     Anchors all of whose pieces stand in two places need no answer.
     """
     per = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("data")).alias("bytes"), F.min("n").alias("least")).filter("n > 1 and least = 1")
-    per = durable(per.select("anchor", F.ceil(F.col("bytes") / shard_bytes).cast("int").alias("c")), "anchors")
+    per = durable(per.select("anchor", "bytes", F.ceil(F.col("bytes") / shard_bytes).cast("int").alias("c")), "anchors")
+    work = per.agg(F.sum(F.col("bytes") * F.col("c"))).first()[0] or 0  # an anchor's pieces go to each of its shards
+    tasks = min(MAX_TASKS, max(int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")), work // TASK_BYTES + 1))
     own = F.pmod(F.xxhash64("digest"), F.col("c")).cast("int")
-    dealt = pieces.join(per, "anchor").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
+    dealt = pieces.join(per.drop("bytes"), "anchor").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
     dealt = dealt.select(
         "anchor", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("left"), "digest", "data")
-    dealt = dealt.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j")
+    dealt = dealt.repartition(tasks, "anchor", "i", "j").sortWithinPartitions("anchor", "i", "j")
 
     def solve(rows: list) -> pa.RecordBatch:
         """Rows of whole anchors, or of one pair of shards of an anchor."""
@@ -331,37 +337,36 @@ def _repeats(pieces: DataFrame, length: int, shard_bytes: int) -> DataFrame:
 
 
 def _kept(texts: DataFrame, length: int) -> DataFrame:
-    """``(sha, n_removed, n_spans, kept_sha256)`` from ``texts(sha, text, ranges)``; a range holds the first and last start of repeats."""
+    """``(sha, n_removed, n_spans, kept_sha256, removed)`` from ``texts(sha, text, ranges)``; a range holds the first and last start of repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shas, removed, n_spans, kept = [], [], [], []
+            shas, removed, n_spans, kept, cut = [], [], [], [], []
             for sha, text, ranges in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                raw, out, at, gone, n = text.encode(), hashlib.sha256(), 0, 0, 0
-                end = -1
+                raw, out, at, runs = text.encode(), hashlib.sha256(), 0, []
                 for a, b in sorted((r["a"], r["b"]) for r in ranges):
-                    if a > end:
-                        n += 1
-                        out.update(raw[at:a])
-                        at = a
-                    if b + length > at:
-                        gone += b + length - max(at, a)
-                        at = max(at, b + length)
-                    end = max(end, b + length)
+                    if runs and a <= runs[-1][1]:
+                        runs[-1][1] = max(runs[-1][1], b + length)
+                    else:
+                        runs.append([a, b + length])
+                for a, b in runs:
+                    out.update(raw[at:a])
+                    at = b
                 out.update(raw[at:])
                 shas.append(sha)
-                removed.append(gone)
-                n_spans.append(n)
+                removed.append(sum(b - a for a, b in runs))
+                n_spans.append(len(runs))
                 kept.append(out.hexdigest())
+                cut.append(",".join(f"{a}:{b}" for a, b in runs))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shas, pa.string()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.string())],
-                ["sha", "n_removed", "n_spans", "kept_sha256"])
+                [pa.array(shas, pa.string()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.string()), pa.array(cut, pa.string())],
+                ["sha", "n_removed", "n_spans", "kept_sha256", "removed"])
 
-    return texts.mapInArrow(run, "sha string, n_removed long, n_spans long, kept_sha256 string")
+    return texts.mapInArrow(run, "sha string, n_removed long, n_spans long, kept_sha256 string, removed string")
 
 
 def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``(id, n_bytes, n_removed, n_spans, kept_sha256)`` of every row."""
+    """``(id, n_bytes, n_removed, n_spans, kept_sha256, n_kept, removed)`` of every row; ``removed`` lists start:end in bytes, ends exclusive."""
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(id).alias("id"), body.alias("text"), F.sha2(body, 256).alias("sha"))
     known = durable(rows.select("id", "sha", F.octet_length("text").cast("long").alias("n_bytes")), "texts")
@@ -388,7 +393,10 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", length
     copies = known.groupBy("sha").count().filter("count > 1").select("sha", F.lit(True).alias("copied"))
     facts = durable(cut.join(copies, "sha", "full"), "facts")
     whole = F.coalesce("copied", F.lit(False)) & (F.col("n_bytes") >= length)
+    n_removed = F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0)))
     return known.join(facts, "sha", "left").select(
-        "id", "n_bytes", F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
+        "id", "n_bytes", n_removed.alias("n_removed"),
         F.when(whole, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", F.lit(0))).alias("n_spans"),
-        F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"))
+        F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
+        (F.col("n_bytes") - n_removed).alias("n_kept"),
+        F.when(whole, F.concat(F.lit("0:"), F.col("n_bytes").cast("string"))).otherwise(F.coalesce("removed", F.lit(""))).alias("removed"))

@@ -37,7 +37,10 @@ def test_rows_equal_brute_force(spark, length, shard_bytes):
     data = rows()
     got = suffixes.deduplicated(documents(spark, data, clash=["sha", "key", "anchor"]), length=length, shard_bytes=shard_bytes).collect()
     want = brute([(t or "").encode() for _, t, *_ in data], length)
-    assert sorted((str(i), *w) for (i, *_), w in zip(data, want)) == sorted((str(r.id), *tuple(r)[1:]) for r in got)
+    assert sorted((str(i), *w) for (i, *_), w in zip(data, want)) == sorted((str(r.id), *tuple(r)[1:5]) for r in got)
+    for r in got:
+        runs = [tuple(map(int, x.split(":"))) for x in r.removed.split(",") if x]
+        assert len(runs) == r.n_spans and sum(b - a for a, b in runs) == r.n_removed == r.n_bytes - r.n_kept
     assert length > 100 or any(0 < w[1] < w[0] for w in want)
 
 
