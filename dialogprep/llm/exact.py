@@ -62,7 +62,7 @@ def groups_of(
     per = durable(per.filter("texts > 1 or size > 1"), "groups")
     alike = per.filter("texts = 1").drop("texts")
     # a digest's group reaches its rows over the salts it occurs in
-    spread = known.join(alike.select("digest"), "digest", "left_semi").select("digest", "salt").distinct().join(alike, "digest")
+    spread = known.select("digest", "salt").distinct().join(alike, "digest")
     lone = F.struct(F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("size"))
     group = F.when(F.col("size").isNotNull(), F.struct("keep_id", "size")).otherwise(lone)
     collided = per.filter("texts > 1").select("digest")
