@@ -1,29 +1,30 @@
 """SimHash near-duplicates over a Gray-order hierarchical index.
 
-``fingerprint`` gives each text a fingerprint of ``64 * lanes`` bits. ``links`` finds close
-fingerprints: every fingerprint goes to one group per block of its bits, so that two fingerprints
-that agree on a block meet. Inside a group they are sorted by Gray rank, which puts similar
-bit patterns next to each other, and cut into nodes. A node keeps the bits that all its members
-share (a mask and a pattern); pairs of nodes are walked from the top, adding up the differences on
-shared bits, and a pair is dropped with all its members once they exceed the limit.
+``fingerprint`` gives each text a fingerprint of 64 bits. ``links`` finds close fingerprints: the bits
+are cut into blocks, and every fingerprint goes to one group for each choice of ``AGREE`` of them, so
+that two fingerprints that agree on those blocks meet. With ``limit + AGREE`` blocks no pair within
+the limit is missed. Keys of two blocks have about 21 bits, so that groups stay small while a
+billion fingerprints are compared; beyond that, three of seven blocks give 27 bits.
 
-With one block more than the allowed differences the search is exact. ``first_of_each`` takes wide
-fingerprints for candidates only, with a stated chance of a miss, and holds candidates' sets of shingles
-against each other before it links them.
+Inside a group they are sorted by Gray rank, which puts similar bit patterns next to each other, and
+cut into nodes. A node keeps the bits that all its members share (a mask and a pattern); pairs of
+nodes are walked from the top, adding up the differences on shared bits, and a pair is dropped with
+all its members once they exceed the limit.
 
 Equal fingerprints count once. A group of more than ``GROUP_ROWS`` fingerprints is cut into
 chunks that are compared two by two in tasks of their own, so a hot group never meets in one task.
 A task reports a spanning forest of the links it finds, not the pairs; ``components`` joins those.
 
 A null text counts as empty. Texts without words have fingerprint zero and are linked like any
-other. Rows with equal ids are all fingerprinted; rows without an id get a fingerprint, link
-nothing and have no component. Other columns are not read.
+other; very long texts are read whole, their shingles in stretches. Rows with equal ids are all
+fingerprinted; rows without an id get a fingerprint, link nothing and have no component. An empty
+table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dialogprep.operators.order import ordered_index
 from dialogprep.session import durable
 
 SEED = 42
 GROUP_ROWS = 1024
+#: Blocks that make a key.
+AGREE = 2
 LEAF = 16
 FAN = 8
 #: Below this a group is compared directly.
@@ -43,21 +47,9 @@ SMALL = 64
 
 # ---- fingerprints
 
-def _lanes(hashes: np.ndarray, lanes: int) -> np.ndarray:
-    """``lanes`` words for each hash; the first is the hash itself."""
-    out = np.empty((len(hashes), lanes), np.uint64)
-    out[:, 0] = hashes
-    for lane in range(1, lanes):
-        x = hashes + np.uint64((0x9E3779B97F4A7C15 * lane) % 2**64)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        out[:, lane] = x ^ (x >> np.uint64(31))
-    return out
-
-
 def _set_bits(words: np.ndarray) -> np.ndarray:
-    """How many rows have each bit set. Sums run in bytes over 255 rows at a time."""
-    bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")
+    """How many of the words have each bit set. Sums run in bytes over 255 rows at a time."""
+    bits = np.unpackbits(words.view(np.uint8).reshape(len(words), 8), axis=1, bitorder="little")
     whole = len(bits) // 255 * 255
     total = bits[whole:].sum(axis=0, dtype=np.uint8).astype(np.int64)
     if whole:
@@ -79,35 +71,33 @@ def shingle_hashes(text: str | None, shingle: int, seed: int = SEED) -> np.ndarr
     return np.fromiter((digest(flat[a:b], seed) for a, b in zip(starts[:n].tolist(), ends.tolist())), np.uint64, n)
 
 
-def _majority(hashes: np.ndarray, lanes: int) -> bytes:
+def fingerprint(text: str | None, shingle: int, seed: int = SEED) -> bytes:
+    """A little-endian word. A bit is set if it is set in over half of the shingles' hashes."""
+    hashes = shingle_hashes(text, shingle, seed)
     n = len(hashes)
     if not n:
-        return bytes(8 * lanes)
-    set_bits = sum(_set_bits(_lanes(hashes[i : i + 65_280], lanes)) for i in range(0, n, 65_280))
+        return bytes(8)
+    set_bits = sum(_set_bits(hashes[i : i + 65_280]) for i in range(0, n, 65_280))
     return np.packbits(2 * set_bits > n, bitorder="little").tobytes()
 
 
-def fingerprint(text: str | None, shingle: int, lanes: int = 1, seed: int = SEED) -> bytes:
-    """Little-endian words. A bit is set if it is set in over half of the shingles' hashes."""
-    return _majority(shingle_hashes(text, shingle, seed), lanes)
-
-
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, lanes: int = 1) -> DataFrame:
-    """``(id, fp)`` of every row."""
+def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
+    """``(id, content, fp)`` of every row; ``content`` tells the texts of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t.as_py(), shingle, lanes) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary())], ["id", "fp"])
+            fps = [fingerprint(t.as_py(), shingle) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.binary())], ["id", "content", "fp"])
 
-    return docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, "id long, fp binary")
+    return docs.select(F.col(id).cast("long").alias("id"), F.xxhash64(text).alias("content"), F.col(text).alias("text")).mapInArrow(
+        run, "id long, content long, fp binary")
 
 
 def as_hex(fp: Column) -> Column:
-    """The usual hex digits of a one-word fingerprint, highest first."""
+    """The usual hex digits of a fingerprint, highest first."""
     return F.lower(F.concat(*[F.substring(F.hex(fp), 15 - 2 * i, 2) for i in range(8)]))
 
 
@@ -191,75 +181,53 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
-def _spanning(n: int, i: np.ndarray, j: np.ndarray, far: np.ndarray) -> np.ndarray:
-    """Which of the pairs make a forest that reaches all that the pairs reach, the least ``far`` first (Boruvka)."""
-    order = np.argsort(far, kind="stable")
-    i, j = i[order], j[order]
-    live, taken, root = np.arange(len(i)), np.empty(0, np.int64), np.arange(n)
-    while len(live):
-        best = np.full(n, len(i))
-        np.minimum.at(best, root[i[live]], live)
-        np.minimum.at(best, root[j[live]], live)
-        taken = np.union1d(taken, best[best < len(i)])
-        root = _forest(n, i[taken], j[taken])
-        live = live[root[i[live]] != root[j[live]]]
-    return order[taken]
-
-
 # ---- links over all groups
 
-def _blocks(bits: int, blocks: int) -> list[tuple[int, int]]:
-    """(first bit, width) of each block."""
-    cuts = [round(k * bits / blocks) for k in range(blocks + 1)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+def _cuts(blocks: int, agree: int) -> list[np.ndarray]:
+    """The bits of each key: every choice of ``agree`` of the ``blocks`` that 64 bits are cut into."""
+    edges = [round(k * 64 / blocks) for k in range(blocks + 1)]
+    return [np.concatenate([np.arange(edges[k], edges[k + 1]) for k in chosen])[:40] for chosen in combinations(range(blocks), agree)]
 
 
-def _block_keys(fps: DataFrame, lanes: int, blocks: int, full: bool = True, orders: tuple[int, ...] = (1,)) -> DataFrame:
-    """One row per block: ``key`` holds the block's number and its first 20 bits.
-
-    The bits are cut into blocks once for each of ``orders``, taken in steps of that odd number. What
-    ``fp`` holds after its ``lanes`` words is passed on.
-    """
-    width = 64 * lanes
-    cuts = [(np.arange(first, first + min(w, 20)) * step % width) for step in orders for first, w in _blocks(width, blocks)]
+def _keys(fps: DataFrame, limit: int, agree: int, full: bool = True) -> DataFrame:
+    """One row per key: the number of its choice of blocks, then their bits."""
+    cuts = _cuts(limit + agree, agree)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            raw = b"".join(batch.column(1).to_pylist())
-            bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(batch.num_rows, -1)[:, : 8 * lanes], axis=1, bitorder="little")
-            keys = np.empty((len(bits), len(cuts)), np.int32)
+            bits = np.unpackbits(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            keys = np.empty((len(bits), len(cuts)), np.int64)
             for k, cut in enumerate(cuts):
-                keys[:, k] = bits[:, cut] @ (1 << np.arange(len(cut), dtype=np.int32)) + (k << 20)
+                keys[:, k] = bits[:, cut] @ (1 << np.arange(len(cut), dtype=np.int64)) + (k << 40)
             columns, names = [pa.array(keys.ravel())], ["key"]
             if full:
                 rows = pa.array(np.repeat(np.arange(len(bits)), len(cuts)))
                 columns, names = columns + [batch.column(0).take(rows), batch.column(1).take(rows)], ["key", "node", "fp"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return fps.select("node", "fp").mapInArrow(run, "key int, node long, fp binary" if full else "key int")
+    return fps.select("node", "fp").mapInArrow(run, "key long, node long, fp binary" if full else "key long")
 
 
-def _meetings(fps: DataFrame, lanes: int, blocks: int, group_rows: int, orders: tuple[int, ...] = (1,)) -> DataFrame:
+def _meetings(fps: DataFrame, limit: int, agree: int, group_rows: int) -> DataFrame:
     """``(key, part, node, fp)``: what is compared in one task stands together."""
-    counts = _block_keys(fps, lanes, blocks, False, orders).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    counts = _keys(fps, limit, agree, False).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     hot = durable(counts.filter(F.col("n") > group_rows).select("key", F.ceil(F.col("n") / group_rows).cast("int").alias("c")), "hot")
     chunks = F.coalesce("c", F.lit(1))
     own = F.pmod(F.xxhash64("fp"), chunks).cast("int")
-    pairs = _block_keys(fps, lanes, blocks, True, orders).join(hot, "key", "left").withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    pairs = _keys(fps, limit, agree).join(hot, "key", "left").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
     part = F.least("own", "other") * chunks + F.greatest("own", "other")
     return pairs.select("key", part.alias("part"), "node", "fp").repartition("key", "part").sortWithinPartitions("key", "part")
 
 
-def links(fps: DataFrame, limit: int, lanes: int = 1, blocks: int | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
+def links(fps: DataFrame, limit: int, agree: int = AGREE, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Edges ``(a, b)`` that connect what is close among ``fps(node, fp)``, whose ``fp`` are distinct."""
-    grouped = _meetings(fps, lanes, blocks or limit + 1, group_rows)
+    grouped = _meetings(fps, limit, agree, group_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for nodes, raw in _groups(batches):
-            v = np.frombuffer(raw, "<u8").reshape(-1, lanes)
+            v = np.frombuffer(raw, "<u8").reshape(-1, 1)
             i, j = close_pairs(v, limit)
             if len(i):
                 by_node = np.argsort(nodes, kind="stable")
@@ -274,7 +242,7 @@ def links(fps: DataFrame, limit: int, lanes: int = 1, blocks: int | None = None,
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, bytes]]:
-    """Node ids and fingerprints of each run of equal ``(key, part)``."""
+    """Node ids and fingerprints of each run of equal ``(key, part)`` that has more than one row, or stands at an end of a batch."""
     held: list[tuple[np.ndarray, bytes]] = []
     last = None
 
@@ -284,15 +252,18 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, byt
     for batch in batches:
         if not batch.num_rows:
             continue
-        tag = (batch.column(0).to_numpy().astype(np.int64) << 32) | batch.column(1).to_numpy()
+        key, part = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         nodes, fps = batch.column(2).to_numpy(), batch.column(3).to_pylist()
-        cuts = [0, *(np.flatnonzero(np.diff(tag)) + 1).tolist(), len(tag)]
-        for s, e in zip(cuts, cuts[1:]):
-            if held and tag[s] != last:
+        cuts = np.concatenate(([0], np.flatnonzero((np.diff(key) != 0) | (np.diff(part) != 0)) + 1, [len(key)]))
+        # a group of one has no pairs; only at a batch's ends may it go on
+        met = np.diff(cuts) > 1
+        met[[0, -1]] = True
+        for s, e in zip(cuts[:-1][met].tolist(), cuts[1:][met].tolist()):
+            if held and (key[s], part[s]) != last:
                 yield whole()
                 held = []
             held.append((nodes[s:e], b"".join(fps[s:e])))
-            last = tag[s]
+            last = key[s], part[s]
     if held:
         yield whole()
 
@@ -317,143 +288,43 @@ def components(edges: DataFrame) -> DataFrame:
         edges = durable(turned.union(low.select(F.col("m").alias("a"), "b")).filter("a < b").distinct(), "edges")
 
 
-def grouped(fps: DataFrame, limit: int, lanes: int = 1, blocks: int | None = None) -> DataFrame:
-    """``(id, fp, component_id)`` for the rows of ``fps(id, fp)``."""
+def grouped(fps: DataFrame, limit: int, agree: int = AGREE) -> DataFrame:
+    """Add ``component_id`` to the rows of ``fps(id, ..., fp)``: the smallest id that a row reaches."""
     fps = durable(fps, "fingerprints")
     nodes = durable(fps.groupBy("fp").agg(F.min("id").alias("node")).filter("node is not null"), "nodes")
-    roots = components(links(nodes, limit, lanes, blocks))
-    named = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
+    if nodes.groupBy("node").count().filter("count > 1").isEmpty():
+        roots = components(links(nodes, limit, agree))
+        named = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
+    else:  # texts that share an id are not linked by it: places in the order of ids stand for them
+        placed = durable(ordered_index(nodes.withColumnRenamed("node", "id"), ["id", "fp"], "node"), "placed")
+        roots = components(links(placed, limit, agree))
+        rooted = placed.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
+        named = rooted.join(placed.select(F.col("node").alias("root"), F.col("id").alias("component_id")), "root").drop("root")
     out = fps.join(durable(named, "named"), "fp", "left")
-    return out.select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
+    return out.select(*fps.columns, F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, limit: int = 4) -> DataFrame:
-    """Exact: fingerprints of 64 bits, linked at ``limit`` or fewer differing bits."""
+    """``(id, content, fp, component_id)`` of every row; fingerprints link at ``limit`` or fewer differing bits."""
     return grouped(fingerprints(docs, id, text, shingle), limit)
 
 
 # ---- keeping one of each group
 
-WIDE_LANES = 8
-BLOCK_BITS = 13
-#: The bits are cut into blocks in their own order, and once more in steps of this.
-ORDERS = (1, 197)
-SLACK = 4.0
-
-
-def bit_limit(similarity: float, bits: int, slack: float = 1.0) -> int:
-    """Differing bits at which shingle sets of that Jaccard similarity stay, ``slack`` deviations above the mean."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * share + slack * math.sqrt(bits * share * (1 - share)))
-
-
-def _wide(docs: DataFrame, id: str, text: str, shingle: int) -> DataFrame:
-    """``(id, sha, node, fp)``: a node is a set of shingles, and each of its shingles counts once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, fps = [], []
-            for t in batch.column(2):
-                held = np.unique(shingle_hashes(t.as_py(), shingle))
-                nodes.append(xxhash.xxh64_intdigest(held.tobytes(), SEED))
-                fps.append(_majority(held, WIDE_LANES))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(fps, pa.binary())], ["id", "sha", "node", "fp"])
-
-    body = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(id).cast("long").alias("id"), F.sha2(body, 256).alias("sha"), F.col(text).alias("text")).mapInArrow(
-        run, "id long, sha string, node long, fp binary")
-
-
-def candidates(fps: DataFrame, limit: int, every: bool, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Distinct pairs ``(a, b)`` of close nodes among ``fps(node, fp, root)`` with different roots.
-
-    A forest of each group's pairs, the closest first; or ``every`` pair.
-    """
-    # the root stands behind the fingerprint, as eight bytes
-    packed = fps.select("node", F.concat("fp", F.unhex(F.lpad(F.hex("root"), 16, "0"))).alias("fp"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for nodes, raw in _groups(batches):
-            rows = np.frombuffer(raw, "<u8").reshape(-1, WIDE_LANES + 1)
-            v, roots = np.ascontiguousarray(rows[:, :-1]), rows[:, -1]
-            i, j = close_pairs(v, limit)
-            apart = roots[i] != roots[j]
-            i, j = i[apart], j[apart]
-            if len(i) and not every:
-                kept = _spanning(len(nodes), i, j, _apart(v[i] ^ v[j]))
-                i, j = i[kept], j[kept]
-            if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(nodes[i], nodes[j])), pa.array(np.maximum(nodes[i], nodes[j]))], ["a", "b"])
-
-    return _meetings(packed, WIDE_LANES, 64 * WIDE_LANES // BLOCK_BITS, group_rows, ORDERS).mapInArrow(run, "a long, b long").distinct()
-
-
-def _shingle_sets(docs: DataFrame, text: str, shingle: int, wanted: DataFrame) -> DataFrame:
-    """``(node, held)`` for ``wanted(node, sha)``: the hashes of a node's shingles, sorted."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(t.as_py(), shingle)).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "held"])
-
-    body = F.coalesce(F.col(text), F.lit(""))
-    texts = docs.select(F.sha2(body, 256).alias("sha"), body.alias("text")).join(wanted, "sha")
-    return texts.groupBy("node").agg(F.first("text").alias("text")).mapInArrow(run, "node long, held binary")
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose sets have a Jaccard similarity of ``similarity`` or more."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            alike = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= similarity * max(len(x), len(y)) - 1 else 0
-                alike.append(both / max(1, len(x) + len(y) - both) >= similarity)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(alike, pa.bool_()))
-
-    one, two = (sets.select(F.col("node").alias(k), F.col("held").alias(f"{k}_held")) for k in ("a", "b"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "a_held", "b_held").mapInArrow(run, "a long, b long")
-
-
-def first_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def first_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, limit: int = 4) -> DataFrame:
     """``docs`` with one row, that of the smallest id, for each group of near-duplicates.
 
-    Linked is what has the given Jaccard similarity of shingles or more, by the sets of their hashes (64
-    bits). Only candidates are looked at: fingerprints of 512 bits that agree on one of 78 blocks of 13
-    bits and differ in no more bits than four deviations above the mean at that similarity. At 0.8 a
-    pair shares no block with a chance of about 6 in 100,000 and differs in more bits with one of 3
-    in 100,000; above that both are less. Candidates are confirmed in two steps: a forest of each
-    group, so that a hot group of near copies costs a pair a text, then all pairs among what that
-    didn't join. Rows without an id stay.
+    A row goes by its id and text: another text under an id is a document of its own. Of the rows that
+    share the id of a document that stays, the least text stays, null first. Rows without an id stay.
+    Texts without words are one group. All columns pass through, whatever their names.
     """
-    limit = bit_limit(similarity, 64 * WIDE_LANES, SLACK)
-    found = durable(_wide(docs, id, text, shingle), "fingerprints")
-    nodes = found.filter("id is not null").groupBy("node").agg(F.first("fp").alias("fp"), F.min("id").alias("id"), F.min("sha").alias("sha"))
-    nodes = durable(nodes, "nodes")
-    pairs = durable(candidates(nodes.select("node", "fp", F.col("node").alias("root")), limit, False), "pairs")
-    # a node without a pair in its groups' forests has no close one
-    close = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
-    close = durable(close, "close")
-    sets = durable(_shingle_sets(docs, text, shingle, close.select("node", "sha")), "shingle-sets")
-    sure = durable(_confirmed(pairs, sets, similarity), "confirmed")
-    joined = close.join(components(sure), "node", "left").select("node", "fp", F.coalesce("root", "node").alias("root"))
-    others = durable(candidates(durable(joined, "joined"), limit, True).join(pairs, ["a", "b"], "left_anti"), "other-pairs")
-    roots = components(sure.unionByName(_confirmed(others, sets, similarity)))
-    first = durable(nodes.join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root")), "rooted")
-    least = first.groupBy("root").agg(F.min("id").alias("first"))
-    known = found.filter("id is not null").select("id", "sha", "node").join(first.select("node", "root"), "node").join(least, "root")
-    # a row goes by its id and text: another text under its id is a document of its own
-    gone = durable(known.filter("id > first").select(F.col("id").alias(id), F.col("sha").alias("_sha")).distinct(), "gone")
-    left = docs.withColumn("_sha", F.sha2(F.coalesce(F.col(text), F.lit("")), 256)).join(gone, [id, "_sha"], "left_anti").select(docs.columns)
-    # rows that share the id of a document that stays are copies of an id; the least text stays
-    twice = durable(found.filter("id is not null").groupBy("id").count().filter("count > 1").select(F.col("id").alias(id)), "twice")
+    found = durable(near_duplicates(docs, id, text, shingle, limit).select("id", "content", "component_id"), "components")
+    gone = found.filter(F.col("component_id") < F.col("id")).select("id", "content").distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(id).cast("long").alias("id"), F.xxhash64(text).alias("content"), F.col(text).alias("text"))
+    left = rows.join(durable(gone, "gone"), ["id", "content"], "left_anti")
+    twice = durable(found.filter("id is not null").groupBy("id").count().filter("count > 1").select("id"), "twice")
     if twice.isEmpty():
-        return left
-    from pyspark.sql.window import Window as W
-
-    rest = left.join(twice, id, "left_anti")
-    one = left.join(twice, id, "left_semi").withColumn("_k", F.row_number().over(W.partitionBy(id).orderBy(text))).filter("_k = 1").drop("_k")
-    return rest.unionByName(one)
+        return left.select("row.*")
+    # one row per id by a partial aggregation, however often an id stands
+    one = left.join(twice, "id", "left_semi").groupBy("id").agg(F.min_by("row", F.struct("text", F.to_json("row"))).alias("row"))
+    return left.join(twice, "id", "left_anti").select("row.*").unionByName(one.select("row.*"))

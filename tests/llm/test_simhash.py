@@ -64,7 +64,9 @@ def test_chunks_of_hot_groups_lose_no_link(spark):
     fps = spark.createDataFrame([(int(k), bytearray(int(x).to_bytes(8, "little"))) for k, x in enumerate(v)], "node long, fp binary")
     whole = simhash.components(simhash.links(fps, 4)).collect()
     parts = simhash.components(simhash.links(fps, 4, group_rows=16)).collect()
-    assert sorted(map(tuple, whole)) == sorted(map(tuple, parts)) and whole
+    single = simhash.components(simhash.links(fps, 4, agree=1)).collect()
+    three = simhash.components(simhash.links(fps, 4, agree=3, group_rows=4)).collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, parts)) == sorted(map(tuple, single)) == sorted(map(tuple, three)) and whole
 
 
 def test_components_of_a_long_path(spark):
@@ -83,28 +85,41 @@ def test_one_of_each_group_stays(spark):
     assert simhash.first_of_each(empty(spark)).count() == 0
 
 
-def test_kept_documents_equal_exact_jaccard(spark):
-    """Copies at similarities of 0.6 to 0.95, and texts that repeat a common part very often: each pair alone decides."""
+def test_kept_documents_equal_brute_force(spark):
+    """Chains of small changes, of which some stay within the limit: one of each group of fingerprints stays."""
     import random
 
     r = random.Random(4)
-    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(6))
-    held = lambda t: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)}
-    rows, want = [], set()
-    common = [word() for _ in range(6)] * 60
-    for k in range(160):
-        base = [word() for _ in range(200)]
-        other = [*base[: 200 - r.randint(6, 50)]]
-        other += [word() for _ in range(200 - len(other))]
-        if k % 8 == 0:
-            base, other = common + base[:40], common + other[-40:]
-        pair = " ".join(base), " ".join(other)
-        rows += [(2 * k, pair[0], "en", "s"), (2 * k + 1, pair[1], "en", "s")]
-        a, b = map(held, pair)
-        want |= {2 * k} if len(a & b) / len(a | b) >= 0.8 else {2 * k, 2 * k + 1}
-    assert 200 < len(want) < 300
-    got = simhash.first_of_each(documents(spark, rows))
-    assert {x.doc_id for x in got.collect()} == want
+    rows = []
+    for k in range(25):
+        words = prose(300 + k, r.choice((40, 150, 600))).split()
+        for n in range(6):
+            rows.append((1000 - 7 * (6 * k + n), " ".join(words), "en", "s"))
+            for _ in range(r.randint(0, 3)):
+                words[r.randrange(len(words))] = f"w{r.randrange(10**6)}"
+    rows += [(5000, "", "en", "s"), (5001, None, "en", "s"), (5002, " \n", "en", "s")]
+    points = {i: fingerprint(t, 4) for i, t, *_ in rows}
+    root = groups(points, 4)
+    assert 30 < len(set(root.values())) < 140
+    got = simhash.first_of_each(documents(spark, rows, clash=["row", "content", "_k", "_sha", "component_id"])).collect()
+    assert sorted(x.doc_id for x in got) == sorted(set(root.values()))
+
+
+def test_repeated_ids_keep_the_least_text(spark):
+    rows = [(5, t, "en", "s") for t in ("b " + prose(1, 50), "a " + prose(2, 50), "a " + prose(2, 50))] + [(6, None, "en", "s"), (6, prose(3, 50), "en", "s")]
+    got = simhash.first_of_each(documents(spark, rows, clash=["_k", "text_", "id"])).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(5, "a " + prose(2, 50)), (6, None)]
+
+
+def test_rows_made_stay_proportional(spark):
+    """What is compared grows with the fingerprints, not with their square."""
+    r = np.random.default_rng(3)
+    made = {}
+    for n in (2_000, 40_000):
+        v = np.unique(r.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + r.integers(0, 2, n, dtype=np.uint64))
+        fps = spark.createDataFrame([(k, bytearray(int(x).to_bytes(8, "little"))) for k, x in enumerate(v)], "node long, fp binary")
+        made[n] = simhash._meetings(fps, 4, 2, simhash.GROUP_ROWS).count() / len(v)
+    assert made[2_000] == made[40_000] == 15
 
 
 def test_another_text_under_an_id_stays(spark):
