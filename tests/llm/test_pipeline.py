@@ -3,7 +3,8 @@ from collections import Counter
 
 import corpus_pipeline
 from dialogprep.llm import mixing, pieces, quality, secrets
-from tests.llm.cases import documents, prose
+from tests.llm.cases import documents
+from tests.llm.test_simhash import fingerprint, groups
 
 
 def corpus(spark):
@@ -13,10 +14,11 @@ def corpus(spark):
     vary = lambda n: " ".join("".join(r.choice("abcdefghijkl") for _ in range(5)) for _ in range(n))
     clean = [(k, f"{vary(120).capitalize()}.\n{vary(60).capitalize()}.", "en", f"s{k % 2}") for k in range(20)]
     words = clean[0][1].split(" ")
-    near = (50, " ".join([*words[:40], "other", *words[41:]]), "en", "s0")
+    near = (50, " ".join([*words[:-1], "other"]), "en", "s0")
+    long = (60, ".\n".join(vary(90).capitalize() for _ in range(60)) + ".", "en", "s1")
     leak = (51, f'{vary(80).capitalize()}. The token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" is here.', "en", "s1")
     junk = (52, " | ".join(vary(1) for _ in range(200)), "en", "s0")
-    return documents(spark, [*clean, near, leak, junk, (53, clean[3][1], "en", "s1"), (54, None, "en", "s1"), (55, "short", None, None)])
+    return documents(spark, [*clean, near, leak, junk, long, long, clean[7], (53, clean[3][1], "en", "s1"), (54, None, "en", "s1"), (55, "short", None, None)], clash=["row", "content", "size", "_row"])
 
 
 def test_stages(spark):
@@ -28,8 +30,10 @@ def test_stages(spark):
         docs = spark.createDataFrame(stage(spark, docs, None).collect(), stage(spark, docs, None).schema)
         seen[name] = docs.collect()
     rules, near, secret, mix, coded = (seen[n] for n in names)
-    assert sorted(r.doc_id for r in rules) == [*range(20), 50, 51, 53]
-    assert sorted(r.doc_id for r in near) == [*range(20), 51]
+    assert sorted(r.doc_id for r in rules) == sorted([*range(20), 7, 50, 51, 53, 60, 60])
+    # brute force of the groups of fingerprints: the near copy goes, and so do the exact ones
+    root = groups({r.doc_id: fingerprint(r.text, 4) for r in rules}, 4)
+    assert sorted(r.doc_id for r in near) == sorted(set(root.values())) == [*range(20), 51, 60]
     assert [r.text for r in secret if r.doc_id == 51][0].count("[assign]") == 1
     assert {r.doc_id: r.text for r in near if r.doc_id != 51} == {r.doc_id: r.text for r in secret if r.doc_id != 51}
     # brute force of the mix: half as much again, by weight, whole copies
