@@ -2,6 +2,12 @@
 
 Every stage takes ``(spark, docs, sf_dir)``. All but the last return the columns of ``docs``; the
 last returns token ids. Stages work on the whole of what their predecessor kept.
+
+Null and empty texts fail the quality rules and go there; a stage that is given them all the same
+counts null as empty. Very long texts pass every stage whole. Of rows with equal ids and texts one
+passes the near-duplicate stage, and of rows that share an id the one with the least text; rows
+without an id stay. Equal training positions are ordered by id. Columns beyond those of ``documents``
+pass through whatever their names, but that ``ids`` is replaced. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -11,10 +17,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dialogprep.llm import mixing, pieces, quality, secrets, simhash
+from dialogprep.llm.queries import PIECES
 from dialogprep.session import durable
 
-PIECES = "/opt/tokenizers/piece_bpe_32k.model"
-
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that fail go, and documents that the line rules or the base rules reject."""
@@ -22,8 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays. Five-word shingles, similarity of 0.8 or more."""
-    return simhash.first_of_each(docs, shingle=5, similarity=0.8)
+    """One document of each group stays: four-word shingles, fingerprints of 64 bits that differ in four or fewer."""
+    return simhash.first_of_each(docs, shingle=4, limit=4)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
