@@ -134,15 +134,16 @@ def generate_conversations(spark, sf):
     return made.messages
 
 
-@query(f"select format('conv_{{:06d}}', n) as id, n, conv_id, worker_id from (select row_number() over (order by item) as n, * from ({_GEN})) where n <= 80")
+@query(f"select format('conv_{{:06d}}', n) as id, n, conv_id, worker_id from (select row_number() over (order by item) as n, * from ({_GEN}))")
 def ingest_stream(spark, sf):
-    """The log arrives in two parts; numbering goes on where the first part ended."""
+    """The log arrives in two halves; numbering goes on where the first one ended, and every conversation is kept."""
     log = _log(spark, sf)
+    n = log.count()
     inbox, out, checkpoint = (scratch_path(spark, n) for n in ("inbox", "saved", "stream"))
-    for part in ("item < 37", "item >= 37"):
+    for part in (f"item < {n // 2}", f"item >= {n // 2}"):
         log.filter(part).write.mode("append").parquet(inbox)
         source = spark.readStream.schema(log.schema).parquet(inbox)
-        ingest.ingest_stream(source, out, checkpoint, target=80).awaitTermination()
+        ingest.ingest_stream(source, out, checkpoint, target=n).awaitTermination()
     return ingest.stored_conversations(spark, out).select("id", "n", "conv_id", "worker_id")
 
 

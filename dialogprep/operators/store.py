@@ -99,6 +99,11 @@ def _say(kind: Column, what: str, *args: Column) -> Column:
     return out
 
 
+#: Looks are cut into stretches of these powers; the coarsest ones hold ``LOOK_FAN ** (LOOK_LEVELS - 1)`` looks.
+LOOK_FAN = 8
+LOOK_LEVELS = 5
+
+
 def diary_page(ts: Column, content: Column) -> Column:
     return F.concat(F.date_format(ts, "MMMM dd, yyyy"), F.lit("\n"), content)
 
@@ -243,24 +248,59 @@ def replay(
     return Replayed(entries, outcomes, lifetimes)
 
 
-def recall_rows(done: Replayed, salts: int = 16) -> DataFrame:
+def _stretch_nodes(lo: Column, hi: Column, fan: int, levels: int) -> Column:
+    """``(level, node)`` of the aligned stretches of ``fan ** level`` places that make up ``lo .. hi - 1``.
+
+    A stretch whose parent lies inside as well gives way to it, so a long life has few coarse
+    stretches and at most ``2 * (fan - 1)`` finer ones on each level at its ends.
+    """
+    def between(first: Column, end: Column, level: int) -> Column:
+        nodes = F.when(first < end, F.sequence(first, end - 1)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(nodes, lambda n: F.struct(F.lit(level).alias("level"), n.alias("node")))
+
+    def inside(size: int) -> tuple[Column, Column]:
+        size = F.lit(size).cast("long")
+        return F.call_function("div", lo + size - 1, size), F.call_function("div", hi, size)
+
+    parts = []
+    for level in range(levels):
+        first, end = inside(fan**level)
+        if level + 1 < levels:
+            above_first, above_end = inside(fan ** (level + 1))
+            whole = above_first < above_end
+            parts.append(between(first, F.when(whole, above_first * fan).otherwise(end), level))
+            parts.append(between(F.when(whole, above_end * fan).otherwise(end), end, level))
+        else:
+            parts.append(between(first, end, level))
+    return F.flatten(F.array(*parts))
+
+
+def recall_rows(done: Replayed, fan: int = LOOK_FAN, levels: int = LOOK_LEVELS) -> DataFrame:
     """What each recall call saw: ``(seq, entry_id, content)`` for the entries alive at the call.
 
-    The result is as large as the listings that were asked for. Entries are salted, so a list
-    with a large share of the rows spreads over ``salts`` join keys.
+    The looks of a list are numbered. An entry lives through a range of those numbers, which is cut
+    into aligned stretches, coarse ones in its middle; a look belongs to one stretch of each level. An
+    entry and a look it was alive at meet in exactly one stretch, and no others meet, so the join makes
+    the rows of the result only. Entries that no look fell upon drop out before it.
     """
-    looks = done.outcomes.filter("tool in ('recall_memories', 'recall_diary', 'recall_reminders') and n_after > 0").select(
-        "kind", "owner", F.col("seq").alias("look_seq"), F.col("ts").alias("look_ts"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
-    )
-    alive = done.lifetimes.withColumn("_salt", (F.col("came_seq") % salts).cast("int"))
-    return (
-        looks.join(alive, ["kind", "owner", "_salt"])
-        .filter("came_seq < look_seq and (gone_seq is null or gone_seq > look_seq)")
-        .select(
-            "kind", "owner", F.col("look_seq").alias("seq"), "look_ts", "entry_id", "content", "subject", "body", "created_at"
-        )
+    lists = ["kind", "owner"]
+    looks = done.outcomes.filter("tool in ('recall_memories', 'recall_diary', 'recall_reminders') and n_after > 0").select(*lists, "seq", F.col("ts").alias("look_ts"))
+    lives = done.lifetimes
+    look, other = F.lit(1).cast("long").alias("look"), F.lit(0).cast("long").alias("look")
+    marks = (
+        looks.select(*lists, "seq", look)
+        .unionByName(lives.select(*lists, F.col("came_seq").alias("seq"), other))
+        .unionByName(lives.filter("gone_seq is not null").select(*lists, F.col("gone_seq").alias("seq"), other))
     )
+    counted = durable(scan(marks, lists, "seq", before={"n": F.col("look")}, after={"m": F.col("look")}).select("seq", "n", "m"), "looks")
+    came = counted.select(F.col("seq").alias("came_seq"), F.col("n").alias("lo"), (F.col("n") + F.col("m")).alias("end"))
+    gone = counted.select(F.col("seq").alias("gone_seq"), F.col("n").alias("upto"))
+    lived = lives.join(came, "came_seq").join(gone, "gone_seq", "left").withColumn("hi", F.coalesce("upto", "end")).filter("lo < hi")
+    lived = lived.withColumn("at", F.explode(_stretch_nodes(F.col("lo"), F.col("hi"), fan, levels)))
+    lived = lived.select(*lists, "at.level", "at.node", "entry_id", "content", "subject", "body", "created_at")
+    stretches = F.array(*[F.struct(F.lit(k).alias("level"), F.call_function("div", F.col("n"), F.lit(fan**k).cast("long")).alias("node")) for k in range(levels)])
+    placed = looks.join(counted.select("seq", "n"), "seq").withColumn("at", F.explode(stretches)).select(*lists, "at.level", "at.node", "seq", "look_ts")
+    return placed.join(lived, [*lists, "level", "node"]).select(*lists, "seq", "look_ts", "entry_id", "content", "subject", "body", "created_at")
 
 
 def _listing_message(kind: Column, lines: Column) -> Column:

@@ -86,6 +86,36 @@ def entry_rows(df):
     return sorted((tuple(r) for r in rows), key=lambda r: r[:3])
 
 
+@pytest.mark.parametrize("fan,levels", [(2, 3), (2, 7), (8, 5)])
+def test_stretches_cover_a_life_once(spark, fan, levels):
+    lives = [(a, b) for a in range(0, 40, 3) for b in range(a + 1, 140, 7)]
+    df = spark.createDataFrame(lives, "lo long, hi long")
+    for r in df.select("lo", "hi", store._stretch_nodes(F.col("lo"), F.col("hi"), fan, levels).alias("s")).collect():
+        covered = [n for level, node in r.s for n in range(node * fan**level, (node + 1) * fan**level)]
+        assert sorted(covered) == list(range(r.lo, r.hi))
+        assert all(sum(level == k for level, _ in r.s) <= 2 * (fan - 1) for k in range(levels - 1))
+
+
+def test_recalls_make_the_rows_of_the_result_only(spark):
+    """Many looks at many entries that are gone: what meets in the join is what was alive."""
+    calls = []
+    for k in range(300):
+        calls.append(("u", START + dt.timedelta(seconds=3 * k), k, 0, 0, "add_memory", f"text {k}", None, None, None))
+        calls.append(("u", START + dt.timedelta(seconds=3 * k + 1), k, 1, 0, "recall_memories", None, None, None, None))
+        calls.append(("u", START + dt.timedelta(seconds=3 * k + 2), k, 2, 0, "delete_memory", None, 1 + k % 2, None, None))
+    done = store.replay(spark.createDataFrame(calls, CALLS))
+    plan = store.recall_rows(done)
+    assert sorted(r.seq for r in plan.collect()) == sorted(r.seq for r in plan.select("seq", "entry_id").distinct().collect())
+    alive, want = 0, 0
+    for k in range(300):
+        alive += 1
+        want += alive
+        alive -= alive >= 1 + k % 2
+    assert plan.count() == want < 300 * 300 / 4
+    joins = [n for n in plan._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in n and "level" in n]
+    assert joins and all("<" not in n for n in joins)  # equal stretches alone decide, nothing is filtered afterwards
+
+
 @pytest.mark.parametrize("block_rows", [8, 65_536])
 def test_replay_matches_one_call_at_a_time(spark, block_rows):
     calls = make_calls(random.Random(5), 400)
