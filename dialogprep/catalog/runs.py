@@ -121,15 +121,21 @@ def rewriter():
 
 @query()
 def generate_conversations(spark, sf):
-    """Every conversation of the table seeds a new one."""
+    """Every conversation of the table seeds a new one; every third user starts with a reminder for each of the user's seeds."""
     ends = shape.last_two_messages(view(spark, sf, MESSAGE_LOG))
+    owner = F.concat(F.lit("user "), (F.col("conv_id") % 50).cast("string"))
     seeds = ends.select(
-        "conv_id", shape.target_messages(F.col("conv_id") % 7 + 2).alias("target"),
+        "conv_id", shape.target_messages(F.col("conv_id") % 7 + 2).alias("target"), owner.alias("owner"),
         F.coalesce("question", F.lit("None.")).alias("prev_question"), F.coalesce("answer", F.lit("None.")).alias("prev_answer"),
     )
+    none, at = F.lit(None).cast("string"), F.lit("2023-12-31 00:00:00").cast("timestamp")
+    reminders = ends.filter(F.col("conv_id") % 3 == 0).select(
+        F.lit("reminder").alias("kind"), owner.alias("owner"), F.col("conv_id").cast("long").alias("entry_id"), none.alias("content"),
+        F.concat(F.lit("Seed "), F.col("conv_id").cast("string")).alias("subject"), F.lit("Look again").alias("body"), at.alias("created_at"),
+        F.lit(None).cast("timestamp").alias("last_checked_at"), F.lit(None).cast("timestamp").alias("completed_at"))
     made = rounds.generate_conversations(
         seeds, {"tester": tester, "assistant": assistant, "rewriter": rewriter}, rounds.Prompts("T", "U", "S", "R"),
-        user_id="robin", name=NAME, mantra=MANTRA, started_at="2024-01-01 00:00:00", wait_seconds=0,
+        user_id="robin", name=NAME, mantra=MANTRA, started_at="2024-01-01 00:00:00", entries=reminders, wait_seconds=0,
     )
     return made.messages
 

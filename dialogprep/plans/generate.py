@@ -12,7 +12,7 @@ from dialogprep.functions.text import assemble_reply, rewrite_source, splice, st
 from dialogprep.operators.calls import tool_calls, tool_results_text
 from dialogprep.operators.dialogue import Wording, followup_prompt, opening_prompt
 from dialogprep.operators.runs import Client, generate, request_messages
-from dialogprep.operators.store import ENTRY_COLUMNS, replay, with_recall_messages
+from dialogprep.operators.store import ENTRY_COLUMNS, bulletin, opening_messages, replay, with_recall_messages
 from dialogprep.session import durable
 
 _ENTRY_SCHEMA = (
@@ -45,14 +45,17 @@ def _ask(df: DataFrame, client: Callable[[], Client], payload: Column, out: str,
 
 
 def _reply(
-    questions: DataFrame, entries: DataFrame, clients: dict[str, Callable[[], Client]], prompts: Prompts, user_id: str,
+    questions: DataFrame, entries: DataFrame, clients: dict[str, Callable[[], Client]], prompts: Prompts, owners: DataFrame,
     name: str, mantra: str, round_ts: Column, last_ids: dict[str, int], options: dict,
 ) -> tuple[DataFrame, DataFrame]:
-    """Answers to ``(conv_id, turn, question)``: the model's reply, its tool calls, a continuation, a rewrite."""
+    """Answers to ``(conv_id, turn, question)``: the model's reply, its tool calls, a continuation, a rewrite.
+
+    A call works on the lists of its conversation's owner, by ``owners(conv_id, user_id)``.
+    """
     system = F.lit(prompts.assistant_system)
     replies = _ask(questions, clients["assistant"], request_messages(system, F.col("question")), "reply", **options).filter("reply <> ''")
     calls = tool_calls(
-        replies.select(F.lit(user_id).alias("user_id"), round_ts.alias("ts"), F.col("conv_id").alias("op_id"), F.col("reply").alias("content"))
+        replies.join(owners, "conv_id").select("user_id", round_ts.alias("ts"), F.col("conv_id").alias("op_id"), F.col("reply").alias("content"))
     )
     done = replay(calls, state=entries, start_ids=last_ids)
     outcomes = with_recall_messages(done)
@@ -74,6 +77,22 @@ def _reply(
     return final, durable(done.entries, "entries")
 
 
+def openings(owners: DataFrame, entries: DataFrame, system_prompt: str, stamp: Column) -> tuple[DataFrame, DataFrame]:
+    """Opening messages ``(conv_id, turn, role, content)`` and the entries as they are after it.
+
+    An owner's open reminders are stamped and listed in a second system message of each of the owner's
+    conversations. Turns count up to -1, so a conversation without reminders has its prompt there.
+    """
+    users = owners.select(F.col("user_id").alias("owner")).distinct()
+    listed = bulletin(entries, stamp, users)
+    said = owners.join(listed, owners["user_id"] == listed["owner"], "left").select("conv_id", opening_messages(F.lit(system_prompt), F.col("bulletin")).alias("m"))
+    said = said.select("conv_id", F.size("m").alias("n"), F.posexplode("m").alias("k", "m"))
+    said = said.select("conv_id", (F.col("k") - F.col("n")).cast("long").alias("turn"), "m.role", "m.content")
+    shown = (F.col("kind") == "reminder") & F.col("completed_at").isNull() & F.col("_shown").isNotNull()
+    marked = entries.join(users.withColumn("_shown", F.lit(True)), "owner", "left")
+    return said, marked.withColumn("last_checked_at", F.when(shown, stamp).otherwise(F.col("last_checked_at"))).select(*ENTRY_COLUMNS)
+
+
 def generate_conversations(
     seeds: DataFrame, clients: dict[str, Callable[[], Client]], prompts: Prompts, user_id: str, name: str, mantra: str,
     started_at: str, entries: DataFrame | None = None, **options,
@@ -82,14 +101,21 @@ def generate_conversations(
 
     ``clients`` makes the functions that play tester, assistant and rewriter. ``target`` is
     even; the rounds go up to the largest one. A conversation whose question or reply comes back empty
-    is dropped. Tool calls of a round run in the order of ``conv_id`` on one shared store, and
-    the store of a round is what the round before left. The loop runs over rounds only, and
-    every round's result is a written table.
+    is dropped. A column ``owner`` of the seeds names the user whose memories and reminders a
+    conversation works on; without it, or where it is null, that is ``user_id``. The owner's open
+    reminders open the conversation as a second system message and are stamped by that. Tool calls
+    of a round run in the order of ``conv_id`` within an owner, and the store of a round is what the
+    round before left. The loop runs over rounds only, and every round's result is a written table.
     """
     spark = seeds.sparkSession
     state = entries if entries is not None else spark.createDataFrame([], _ENTRY_SCHEMA)
+    start = F.lit(started_at).cast("timestamp")
+    owner = F.coalesce(F.col("owner").cast("string"), F.lit(user_id)) if "owner" in seeds.columns else F.lit(user_id)
+    owners = durable(seeds.select("conv_id", owner.alias("user_id")), "owners")
+    opening, state = openings(owners, state, prompts.assistant_system, start)
+    opening, state = durable(opening, "opening"), durable(state, "entries")
     tester_system = F.lit(prompts.tester_system)
-    first = opening_prompt(seeds, prompts.tester_user, prompts.wording)
+    first = opening_prompt(seeds.drop("owner"), prompts.tester_user, prompts.wording)
     asked = _ask(first, clients["tester"], request_messages(tester_system, F.col("prompt")), "q", **options)
     question = asked.select(
         "conv_id", "target", F.lit(0).cast("long").alias("turn"), strip_thinking(F.col("q")).alias("question")
@@ -98,9 +124,9 @@ def generate_conversations(
     targets = question.select("conv_id", "target")
     max_messages = question.agg(F.max("target")).first()[0] or 0
     for turn in range(1, max_messages, 2):
-        at = F.lit(started_at).cast("timestamp") + F.expr(f"make_dt_interval(0, 0, 0, {turn})")
+        at = start + F.expr(f"make_dt_interval(0, 0, 0, {turn})")
         last_ids = {r["kind"]: r["n"] for r in state.groupBy("kind").agg(F.max("entry_id").alias("n")).collect()}  # three kinds at most
-        answers, state = _reply(question, state, clients, prompts, user_id, name, mantra, at, last_ids, options)
+        answers, state = _reply(question, state, clients, prompts, owners, name, mantra, at, last_ids, options)
         said = said.unionByName(answers.select("conv_id", F.lit(turn).cast("long").alias("turn"), F.lit("assistant").alias("role"), "content"))
         said = durable(said, "said")
         if turn + 1 >= max_messages:
@@ -116,7 +142,5 @@ def generate_conversations(
         said = said.unionByName(question.select("conv_id", "turn", F.lit("user").alias("role"), F.col("question").alias("content")))
     lengths = said.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).join(targets, "conv_id").filter("n = target")
     complete = said.join(lengths.select("conv_id"), "conv_id", "left_semi")
-    opening = lengths.select(
-        "conv_id", F.lit(-1).cast("long").alias("turn"), F.lit("system").alias("role"), F.lit(prompts.assistant_system).alias("content")
-    )
+    opening = opening.join(lengths.select("conv_id"), "conv_id", "left_semi").select("conv_id", "turn", "role", "content")
     return Generated(opening.unionByName(complete), state.select(*ENTRY_COLUMNS))

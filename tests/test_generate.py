@@ -38,6 +38,39 @@ def test_rounds_are_independent_of_partitions_and_drop_failures(spark):
     assert entries.filter("kind = 'memory'").count() > 0
 
 
+def test_owners_have_stores_of_their_own_and_see_their_reminders(spark):
+    """An owner's conversations open as in a run of that owner alone, and calls work on the owner's lists."""
+    seeds = [(i, 2, f"q{i} " * (i + 1), "a", ("ann", "bob", None)[i % 3]) for i in range(18)]
+    stamp = "2024-01-01 00:00:00"
+    schema = "conv_id long, target long, prev_question string, prev_answer string, owner string"
+    reminders = spark.createDataFrame(
+        [("reminder", "ann", 1, None, "Tea", "Water it", None, None, None), ("reminder", "ann", 2, None, "Done", "Gone", None, None, None),
+         ("reminder", "carl", 3, None, "Other", "Not shown", None, None, None)],
+        "kind string, owner string, entry_id long, content string, subject string, body string, created_at timestamp, last_checked_at timestamp, completed_at timestamp",
+    ).withColumn("completed_at", F.when(F.col("subject") == "Done", F.lit(stamp).cast("timestamp")))
+    clients = {"tester": players.tester, "assistant": players.assistant, "rewriter": players.rewriter}
+
+    def play(rows):
+        made = generate_conversations(
+            spark.createDataFrame(rows, schema), clients, Prompts("T", "U", "S", "R"), "robin", "Robin", MANTRA, stamp, entries=reminders, wait_seconds=0)
+        messages = {(r.conv_id, r.turn): (r.role, r.content) for r in made.messages.collect()}
+        return messages, made.entries.select("kind", "owner", "entry_id", "content", "subject", "last_checked_at").collect()
+
+    said, entries = play(seeds)
+    alone = play([r for r in seeds if r[4] == "ann"])[0]
+    assert alone and {k: v for k, v in said.items() if seeds[k[0]][4] == "ann" and k[1] <= 0} == {k: v for k, v in alone.items() if k[1] <= 0}
+    for conv in {c for c, _ in said}:
+        own = seeds[conv][4]
+        assert said[conv, -2 if own == "ann" else -1] == ("system", "S") and ((conv, -2) in said) == (own == "ann")
+        if own == "ann":
+            role, text = said[conv, -1]
+            assert role == "system" and "1. Tea — Water it" in text and "Last checked: 2023-12-31T17:00:00-07:00" in text and "Gone" not in text and "Not shown" not in text
+    by_subject = {r.subject: r for r in entries if r.kind == "reminder"}
+    assert by_subject["Tea"].last_checked_at is not None and by_subject["Other"].last_checked_at is None and by_subject["Done"].last_checked_at is None
+    owners = {r.owner for r in entries if r.kind == "memory"}
+    assert owners <= {"ann", "bob", "robin"} and len(owners) > 1
+
+
 def test_retries_then_gives_up(spark):
     def client():
         tries = {}
