@@ -10,6 +10,9 @@ p-th one then. Both come from one summary row per block:
   lengths turns any starting length into the length at the end of the block.
 * With starting lengths known, each block resolves its removals to its own entries or to
   positions in the starting list. Walking the summaries in order maps positions to entries.
+
+The summaries of one list are walked in one group as long as they hold ``group_rows`` numbers at
+most. Those of longer lists are combined as a tree of written levels (``operators/trees.py``).
 """
 
 from __future__ import annotations
@@ -22,9 +25,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialogprep.session import durable
+from dialogprep.operators.trees import origins, starting_lengths
+from dialogprep.session import broadcast_small, durable
 
 LIST_BLOCK_ROWS = 16_384
+LIST_GROUP_ROWS = 1 << 20
 
 
 def _nth_free(taken: list[int], n: int) -> int:
@@ -137,12 +142,23 @@ def _locate(pdf: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def replay_lists(ops: DataFrame, block_rows: int = LIST_BLOCK_ROWS) -> DataFrame:
+def _by_size(summaries: DataFrame, numbers: str, group_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """Summaries of lists whose arrays ``numbers`` fit one group, and those of the longer lists if there are any."""
+    size = F.sum(F.size(numbers) + 1)
+    long = durable(summaries.groupBy("list_key").agg(size.alias("_n")).filter(F.col("_n") > group_rows).select("list_key"), "long-lists")
+    if long.isEmpty():
+        return summaries, None
+    named = broadcast_small(long, group_rows)
+    return summaries.join(named, "list_key", "left_anti"), summaries.join(named, "list_key", "left_semi")
+
+
+def replay_lists(ops: DataFrame, block_rows: int = LIST_BLOCK_ROWS, group_rows: int = LIST_GROUP_ROWS) -> DataFrame:
     """Outcome of each operation: ``(seq, ok, target_seq, n_after)``.
 
     ``ops`` is ``(list_key, seq, op, index)`` with ``seq`` dense and grouped by list, ``op``
     one of add, remove, look, and ``index`` the 1-based place for a removal. ``target_seq`` is
-    the add operation whose entry was removed, ``n_after`` the length afterwards.
+    the add operation whose entry was removed, ``n_after`` the length afterwards. No group
+    is given more than ``block_rows`` operations or ``group_rows`` numbers of summaries.
     """
     ops = ops.select(
         "list_key", "seq", "op", F.coalesce("index", F.lit(0)).cast("long").alias("index"),
@@ -160,11 +176,15 @@ def replay_lists(ops: DataFrame, block_rows: int = LIST_BLOCK_ROWS) -> DataFrame
         .distinct()
     )
     stretch = ["list_key", "block"]
-    starts = (
+    summaries = durable(
         ops.join(crossing, stretch, "left_semi")
-        .groupBy("block").applyInPandas(_summarise, "list_key string, block long, shift long, need array<long>")
-        .groupBy("list_key").applyInPandas(_starting_lengths, "list_key string, block long, n_start long")
+        .groupBy("block").applyInPandas(_summarise, "list_key string, block long, shift long, need array<long>"),
+        "summaries",
     )
+    short, long = _by_size(summaries, "need", group_rows)
+    starts = short.groupBy("list_key").applyInPandas(_starting_lengths, "list_key string, block long, n_start long")
+    if long is not None:
+        starts = durable(starts.unionByName(starting_lengths(long)), "starts")
     known = ops.join(starts, stretch, "left").fillna(0, ["n_start"])
     resolved = durable(
         known.groupBy("block").applyInPandas(
@@ -175,15 +195,19 @@ def replay_lists(ops: DataFrame, block_rows: int = LIST_BLOCK_ROWS) -> DataFrame
     )
 
     shared = resolved.join(crossing, stretch, "left_semi")
-    located = (
-        shared.groupBy(*stretch)
-        .agg(
+    removed = durable(
+        shared.groupBy(*stretch).agg(
             F.array_sort(F.collect_list(F.when(F.col("hit_pos") > 0, F.col("hit_pos")))).alias("positions"),
             F.count(F.when(F.col("kept_rank") >= 0, 1)).alias("n_left"),
-        )
-        .groupBy("list_key")
-        .applyInPandas(_locate, "list_key string, block long, hit_pos long, origin long, kept_rank long")
+        ),
+        "removed",
+    )
+    short, long = _by_size(removed, "positions", group_rows)
+    located = short.groupBy("list_key").applyInPandas(
+        _locate, "list_key string, block long, hit_pos long, origin long, kept_rank long"
     )
+    if long is not None:
+        located = located.unionByName(origins(long.join(starts, stretch)))
     leftovers = shared.filter("kept_rank >= 0").select(
         "list_key", F.col("block").alias("origin"), "kept_rank", F.col("seq").alias("old_seq")
     )

@@ -46,3 +46,18 @@ def test_lists_match_a_step_by_step_run(spark, p_add, max_index, block_rows):
     df = spark.createDataFrame(shuffled, "list_key string, seq long, op string, index long")
     got = {r.seq: (r.ok, r.target_seq, r.n_after) for r in replay_lists(df, block_rows).collect()}
     assert got == brute(ops)
+
+
+@pytest.mark.parametrize("p_add,max_index,block_rows", [(0.6, 300, 7), (0.45, 6, 9)])
+def test_long_lists_as_trees_of_summaries(spark, p_add, max_index, block_rows):
+    ops = make_log(random.Random(block_rows), {"a": 3, "b": 40, "hot": 150, "warm": 60, "z": 20}, p_add, max_index)
+    df = spark.createDataFrame(random.Random(3).sample(ops, len(ops)), "list_key string, seq long, op string, index long")
+    got = {r.seq: (r.ok, r.target_seq, r.n_after) for r in replay_lists(df, block_rows, group_rows=5).collect()}
+    assert got == brute(ops)
+
+
+def test_a_list_of_a_thousand_blocks_with_scattered_removals(spark):
+    ops = make_log(random.Random(11), {"hot": 16_000, "z": 9}, 0.6, 2_000)
+    df = spark.createDataFrame(ops, "list_key string, seq long, op string, index long")
+    got = {r.seq: (r.ok, r.target_seq, r.n_after) for r in replay_lists(df, 16, group_rows=500).collect()}
+    assert got == brute(ops)
