@@ -195,9 +195,11 @@ select 0::bigint as idx, string_agg({mixing._RENDER.replace('role', 'f.role').re
   filter (f.ord < o.ord) || {mixing._GENERATION} || any_value(o.content) as prompt, 'seen' as response
 from one o join flat f on f.mega_id = o.mega_id and f.ord <= o.ord""".replace("mix_flat", "flat where role = 'assistant'"))
 def validation_preview(spark, sf):
-    rows = examples.number_examples(mixing._encoded(spark, sf, 100_000))
+    # only the first example is shown, so only its block is encoded
+    first = examples.first_example(mixing._flat(spark, sf))
+    rows = examples.encode_examples(first, mixing._T, 100_000, mixing.EOS).withColumn("idx", F.lit(0).cast("long"))
 
     def decode(ids):
-        return examples.utf8_decoder(F.filter(ids, lambda i: i != mixing.EOS))
+        return examples.utf8_decoder(F.array_remove(ids, mixing.EOS))
 
     return runs.validation_preview(rows, lambda: (lambda text: "seen"), decode)

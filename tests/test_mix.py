@@ -116,3 +116,11 @@ def test_empty_conversations_count_in_the_pool_but_leave_no_block(spark):
     flat = prepare.build_megachats(prepare.Sources(keys, messages), settings)
     assert [r[0] for r in flat.select("mega_id").distinct().orderBy("mega_id").collect()] == [0, 1]
     assert flat.count() == 2 * 3
+
+
+def test_the_preview_encodes_the_first_example_only(spark, sources):
+    flat = prepare.build_megachats(sources, Settings(target_megachats=4, mega_size=6, system_prompt="S"))
+    first = examples.first_example(flat)
+    assert first.select("mega_id").distinct().count() == 1 and first.filter("role = 'assistant'").count() == 1
+    everything = examples.number_examples(examples.encode_examples(flat, T, 500, 3)).filter("idx = 0").drop("idx")
+    assert examples.encode_examples(first, T, 500, 3).collect() == everything.collect()
