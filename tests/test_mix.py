@@ -124,3 +124,14 @@ def test_the_preview_encodes_the_first_example_only(spark, sources):
     assert first.select("mega_id").distinct().count() == 1 and first.filter("role = 'assistant'").count() == 1
     everything = examples.number_examples(examples.encode_examples(flat, T, 500, 3)).filter("idx = 0").drop("idx")
     assert examples.encode_examples(first, T, 500, 3).collect() == everything.collect()
+
+
+def test_bytes_are_coded_without_regular_expressions(spark):
+    texts = ["", "a", "\x00z", "é日本😀", "line\n", "  "]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i long, t string")
+    ids = examples.utf8_encoder(F.col("t"))
+    out = {r.i: r for r in df.select("i", ids.alias("ids"), examples.hex_digits(ids).alias("h"), examples.utf8_decoder(ids).alias("back")).collect()}
+    for i, t in enumerate(texts):
+        assert (out[i].ids, out[i].h, out[i].back) == (list(t.encode()), t.encode().hex().upper(), t)
+    assert out[len(texts)].ids is None
+    assert "regexp" not in df.select(ids.alias("x"))._jdf.queryExecution().optimizedPlan().toString()
