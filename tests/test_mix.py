@@ -135,3 +135,11 @@ def test_bytes_are_coded_without_regular_expressions(spark):
         assert (out[i].ids, out[i].h, out[i].back) == (list(t.encode()), t.encode().hex().upper(), t)
     assert out[len(texts)].ids is None
     assert "regexp" not in df.select(ids.alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_supervised_text_needs_no_context(spark, sources):
+    flat = prepare.build_megachats(sources, Settings(target_megachats=3, mega_size=6, system_prompt="S"))
+    rows = examples.supervised_text(examples.encode_examples(flat, T, 100_000, 3), special_ids=[3]).select("mega_id", "ord", "supervised")
+    assert "stream" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    want = flat.filter("role = 'assistant'").select("mega_id", "ord", F.col("content").alias("supervised"))
+    assert sorted(rows.collect()) == sorted(want.collect())
