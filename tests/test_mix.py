@@ -143,3 +143,14 @@ def test_supervised_text_needs_no_context(spark, sources):
     assert "stream" not in rows._jdf.queryExecution().optimizedPlan().toString()
     want = flat.filter("role = 'assistant'").select("mega_id", "ord", F.col("content").alias("supervised"))
     assert sorted(rows.collect()) == sorted(want.collect())
+
+
+def test_batches_exchange_no_token_rows(spark, sources):
+    flat = prepare.build_megachats(sources, Settings(target_megachats=4, mega_size=6, system_prompt="S"))
+    for max_len in (40, 5_000):
+        want = examples.pad_batches(examples.number_examples(examples.encode_examples(flat, T, max_len, 3)), 4, 0)
+        got = examples.encode_batches(flat, T, max_len, 4, 0, 3, block_rows=4)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join"):]  # what joins and windows handle
+    assert "AS input_ids" in plan and "AS input_ids" not in below and "AS labels" not in below
