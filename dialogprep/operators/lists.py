@@ -44,21 +44,25 @@ def _nth_free(taken: list[int], n: int) -> int:
     return n + low
 
 
-def _stretches(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """The lists of one block, each in log order."""
-    pdf = pdf.sort_values("seq", kind="stable")
-    change = np.flatnonzero(pdf["list_key"].to_numpy()[1:] != pdf["list_key"].to_numpy()[:-1]) + 1
-    edges = [0, *change.tolist(), len(pdf)]
+def _stretches(pdf: pd.DataFrame) -> Iterator[tuple[str, dict[str, list]]]:
+    """The lists of one block, each in log order, with their columns as plain lists.
+
+    A block can hold thousands of small lists, so a list costs slices and no data frame.
+    """
+    order = np.argsort(pdf["seq"].to_numpy(), kind="stable")
+    keys = pdf["list_key"].to_numpy()[order]
+    columns = {c: pdf[c].to_numpy()[order].tolist() for c in ("seq", "op", "index", "n_start") if c in pdf.columns}
+    edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
     for a, b in zip(edges, edges[1:]):
-        yield pdf.iloc[a:b]
+        yield keys[a], {c: values[a:b] for c, values in columns.items()}
 
 
 def _summarise(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """Per list: what the block does to the length of the list it starts from."""
     out = []
-    for part in _stretches(pdf):
+    for list_key, part in _stretches(pdf):
         shift, need = 0, []
-        for op, index in zip(part["op"].tolist(), part["index"].tolist()):
+        for op, index in zip(part["op"], part["index"]):
             if op == "add":
                 shift += 1
             elif op == "remove" and index >= 1:
@@ -66,7 +70,7 @@ def _summarise(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
                     shift -= 1  # succeeds even from an empty list
                 else:
                     insort(need, _nth_free(need, index - shift))
-        out.append((part["list_key"].iloc[0], key[0], shift, need))
+        out.append((list_key, key[0], shift, need))
     return pd.DataFrame(out, columns=["list_key", "block", "shift", "need"])
 
 
@@ -82,9 +86,9 @@ def _starting_lengths(pdf: pd.DataFrame) -> pd.DataFrame:
 def _resolve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """Outcome of each operation of a block, given the starting lengths."""
     lists, seqs, oks, hits, olds, sizes, ranks = [], [], [], [], [], [], []
-    for part in _stretches(pdf):
-        n_start, gone, own, first = int(part["n_start"].iloc[0]), [], [], len(seqs)
-        for seq, op, index in zip(part["seq"].tolist(), part["op"].tolist(), part["index"].tolist()):
+    for list_key, part in _stretches(pdf):
+        n_start, gone, own, first = int(part["n_start"][0]), [], [], len(seqs)
+        for seq, op, index in zip(part["seq"], part["op"], part["index"]):
             ok, hit, old = True, -1, -1
             if op == "add":
                 own.append(seq)
@@ -103,7 +107,7 @@ def _resolve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
             sizes.append(n_start - len(gone) + len(own))
         place = {seq: i for i, seq in enumerate(own)}
         ranks.extend(place.get(seq, -1) for seq in seqs[first:])
-        lists.extend(part["list_key"])
+        lists.extend([list_key] * len(part["seq"]))
     return pd.DataFrame({
         "list_key": lists, "block": key[0], "seq": seqs, "ok": oks, "hit_seq": hits, "hit_pos": olds,
         "n_after": sizes, "kept_rank": ranks,

@@ -1,7 +1,9 @@
 import random
 
+import pandas as pd
 import pytest
 
+from dialogprep.operators import lists
 from dialogprep.operators.lists import _nth_free, replay_lists
 
 
@@ -61,3 +63,19 @@ def test_a_list_of_a_thousand_blocks_with_scattered_removals(spark):
     df = spark.createDataFrame(ops, "list_key string, seq long, op string, index long")
     got = {r.seq: (r.ok, r.target_seq, r.n_after) for r in replay_lists(df, 16, group_rows=500).collect()}
     assert got == brute(ops)
+
+
+def test_a_block_of_many_small_lists_builds_no_frame_per_list(monkeypatch):
+    n = 3_000
+    ops = pd.DataFrame({
+        "list_key": [f"k{i // 3}" for i in range(3 * n)], "seq": range(3 * n), "op": ["add", "remove", "remove"] * n,
+        "index": 1, "n_start": 0,
+    }).sample(frac=1, random_state=1)
+    frames = []
+    make = pd.DataFrame.__finalize__
+    monkeypatch.setattr(pd.DataFrame, "__finalize__", lambda self, *a, **k: frames.append(1) or make(self, *a, **k))
+    out = lists._resolve((0,), ops).sort_values("seq")
+    assert out["ok"].tolist() == [True, True, False] * n and out["n_after"].tolist() == [1, 0, 0] * n
+    assert out["hit_seq"].tolist()[1::3] == list(range(0, 3 * n, 3))
+    assert lists._summarise((0,), ops)[["shift"]].to_numpy().sum() == 0
+    assert len(frames) < 100
