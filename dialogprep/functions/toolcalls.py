@@ -54,16 +54,26 @@ def unquote(literal: Column) -> Column:
         return piece
 
     # an escaped backslash splits the text first, so that it cannot start another escape
-    return F.array_join(F.transform(F.split(inner, r"\\\\"), resolve), "\\")
+    resolved = F.array_join(F.transform(F.split(inner, r"\\\\"), resolve), "\\")
+    return F.when(F.contains(literal, F.lit("\\")), resolved).otherwise(inner)
 
 
-def list_args(call: Column) -> Column:
-    """All strings of ``input_text=[...]`` up to the first ``]``; null when it does not parse."""
-    body = F.regexp_extract(call, r"(?s)input_text\s*=\s*\[(.*?)\]", 1)
+def list_body(call: Column) -> Column:
+    """What stands in ``input_text=[...]`` up to the first ``]``; empty if there is none."""
+    return F.regexp_extract(call, r"(?s)input_text\s*=\s*\[(.*?)\]", 1)
+
+
+def list_values(body: Column) -> Column:
+    """The strings of a list without its brackets; null when it does not parse."""
     found = F.regexp_extract_all(body, F.lit(f"({_LITERAL})"), F.lit(1))
     return F.when(F.rlike(body, F.lit(_LITERAL_LIST)), F.transform(found, unquote))
 
 
+def list_args(call: Column) -> Column:
+    """All strings of ``input_text=[...]`` up to the first ``]``; null when it does not parse."""
+    return list_values(list_body(call))
+
+
 def list_arg(call: Column) -> Column:
     """The first string of ``input_text=[...]``; the rest of the list is not used."""
     return F.element_at(list_args(call), 1)
@@ -74,7 +84,16 @@ def index_arg(call: Column) -> Column:
     return F.nullif(F.regexp_extract(call, r"indices\s*=\s*\[(\d+)\]", 1), F.lit("")).try_cast("bigint")
 
 
+def string_literal(call: Column, name: str) -> Column:
+    """What stands behind ``name=``, with its quotes: cut at the next quote of the same kind, empty if there is none."""
+    return F.regexp_extract(call, rf"""(?s){name}\s*=\s*(".*?"|'.*?')""", 1)
+
+
+def literal_value(literal: Column) -> Column:
+    """The value of a text that is a quoted literal, null if it is none."""
+    return F.when(F.rlike(literal, F.lit(rf"(?s)^{_LITERAL}$")), unquote(literal))
+
+
 def string_arg(call: Column, name: str) -> Column:
     """The value of ``name="..."``: cut at the next quote of the same kind, null if that is no literal."""
-    literal = F.regexp_extract(call, rf"""(?s){name}\s*=\s*(".*?"|'.*?')""", 1)
-    return F.when(F.rlike(literal, F.lit(rf"(?s)^{_LITERAL}$")), unquote(literal))
+    return literal_value(string_literal(call, name))

@@ -27,16 +27,21 @@ def tool_calls(df: DataFrame, content: str = "content", first_only: bool = True,
         T.extract_tool_calls(F.col(content)), lambda c: F.struct(c.alias("call"), T.classify_tool(c, strict).alias("tool"))
     )
     rows = df.select(*keep, F.posexplode(named).alias("call_pos", "_call")).filter(tool.isNotNull())
-    texts = F.when(tool.isin(*ADDS_TEXT), T.list_args(call))
+    # what is cut out is read more than once to get its value
+    pieces = F.struct(
+        F.when(tool.isin(*ADDS_TEXT), T.list_body(call)).alias("_list"),
+        F.when(tool.isin(*BY_INDEX), T.index_arg(call)).alias("index_arg"),
+        F.when(tool == "add_reminder", T.string_literal(call, "subject")).alias("_subject"),
+        F.when(tool == "add_reminder", T.string_literal(call, "reminder_text")).alias("_body"),
+    )
+    cut = rows.select(*keep, F.col("call_pos").cast("long").alias("call_pos"), tool.alias("tool"), F.inline(F.array(pieces)))
+    texts = T.list_values(F.col("_list"))
     if first_only:
         texts = F.slice(texts, 1, 1)
-    args = F.struct(
-        texts.alias("_texts"),
-        F.when(tool.isin(*BY_INDEX), T.index_arg(call)).alias("index_arg"),
-        F.when(tool == "add_reminder", T.string_arg(call, "subject")).alias("subject"),
-        F.when(tool == "add_reminder", T.string_arg(call, "reminder_text")).alias("body"),
+    values = F.struct(
+        texts.alias("_texts"), T.literal_value(F.col("_subject")).alias("subject"), T.literal_value(F.col("_body")).alias("body"),
     )
-    parsed = rows.select(*keep, F.col("call_pos").cast("long").alias("call_pos"), tool.alias("tool"), F.inline(F.array(args)))
+    parsed = cut.select(*keep, "call_pos", "tool", "index_arg", F.inline(F.array(values)))
     tool = F.col("tool")
     valid = (
         F.when(tool.isin(*ADDS_TEXT), F.coalesce(F.size("_texts"), F.lit(0)) > 0)

@@ -18,18 +18,22 @@ most. Those of longer lists are combined as a tree of written levels (``operator
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right, insort
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from dialogprep.operators.trees import origins, starting_lengths
 from dialogprep.session import broadcast_small, durable
 
 LIST_BLOCK_ROWS = 16_384
 LIST_GROUP_ROWS = 1 << 20
+MAX_BROADCAST_ROWS = 65_536
 
 
 def _nth_free(taken: list[int], n: int) -> int:
@@ -156,49 +160,119 @@ def _by_size(summaries: DataFrame, numbers: str, group_rows: int) -> tuple[DataF
     return summaries.join(named, "list_key", "left_anti"), summaries.join(named, "list_key", "left_semi")
 
 
-def replay_lists(ops: DataFrame, block_rows: int = LIST_BLOCK_ROWS, group_rows: int = LIST_GROUP_ROWS) -> DataFrame:
-    """Outcome of each operation: ``(seq, ok, target_seq, n_after)``.
+def _at(rows: np.ndarray) -> pa.Array:
+    """Row numbers to take, null where they are below 0."""
+    return pa.array(np.maximum(rows, 0), mask=rows < 0)
+
+
+def _settle(block: int, ops: pa.Table, notes: pa.Table, more: list[str], of_target: list[str], of_removal: list[str]) -> pa.Table:
+    """The operations of a block in log order, next to their outcomes, their notes and the other end of their removals.
 
-    ``ops`` is ``(list_key, seq, op, index)`` with ``seq`` dense and grouped by list, ``op``
-    one of add, remove, look, and ``index`` the 1-based place for a removal. ``target_seq`` is
-    the add operation whose entry was removed, ``n_after`` the length afterwards. No group
-    is given more than ``block_rows`` operations or ``group_rows`` numbers of summaries.
+    ``kept_rank`` is only given for the first and the last list, which may go on in another block.
     """
-    ops = ops.select(
-        "list_key", "seq", "op", F.coalesce("index", F.lit(0)).cast("long").alias("index"),
-        F.expr(f"seq div {block_rows}").alias("block"),
-    )
+    ops = ops.combine_chunks().sort_by("seq")
+    seq = ops["seq"].to_numpy()
+    for c in more:
+        known = notes.filter(pc.is_valid(notes[c])).combine_chunks()
+        rows = np.full(len(seq), -1)
+        rows[np.searchsorted(seq, known["seq"].to_numpy())] = np.arange(len(known))
+        ops = ops.append_column(c, known[c].take(_at(rows)) if len(known) else pa.nulls(len(seq), known[c].type))
+    listed = np.flatnonzero(ops["list_key"].is_valid().to_numpy())
+    n_after, kept_rank, hit_pos, hit, gone = (np.full(len(seq), -1) for _ in range(5))
+    ok, on_list = np.zeros(len(seq), bool), np.zeros(len(seq), bool)
+    on_list[listed] = True
+    if len(listed):
+        keys = ops["list_key"].take(pa.array(listed)).combine_chunks()
+        first = np.concatenate(([True], pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)))
+        starts = notes.filter(pc.is_valid(notes["n_start"]))
+        starts = dict(zip(starts["list_key"].to_pylist(), starts["n_start"].to_pylist()))
+        lengths = np.array([starts.get(k, 0) for k in keys.filter(pa.array(first)).to_pylist()]) if starts else np.zeros(first.sum(), np.int64)
+        number = np.cumsum(first) - 1
+        part = ops.select(["seq", "op", "index"]).take(pa.array(listed))
+        index = pc.fill_null(part["index"], 0).to_numpy()
+        done = _resolve((block,), pd.DataFrame({
+            "list_key": number, "seq": part["seq"].to_numpy(), "op": part["op"].to_numpy(), "index": index, "n_start": lengths[number],
+        }))
+        ok[listed], n_after[listed], hit_pos[listed] = (done[c].to_numpy() for c in ("ok", "n_after", "hit_pos"))
+        at_end = (number == 0) | (number == number[-1])  # no other list goes on in another block
+        kept_rank[listed[at_end]] = done["kept_rank"].to_numpy()[at_end]
+        target = done["hit_seq"].to_numpy(dtype=np.int64)
+        removing = listed[target >= 0]
+        hit[removing] = np.searchsorted(seq, target[target >= 0])
+        gone[hit[removing]] = removing
+    out = {
+        "ok": pa.array(ok, mask=~on_list), "hit_pos": pa.array(hit_pos), "n_after": pa.array(n_after, mask=~on_list), "kept_rank": pa.array(kept_rank),
+        "target_seq": ops["seq"].take(_at(hit)), **{f"target_{c}": ops[c].take(_at(hit)) for c in of_target},
+        "gone_seq": ops["seq"].take(_at(gone)), **{f"gone_{c}": ops[c].take(_at(gone)) for c in of_removal},
+    }
+    for c, values in out.items():
+        ops = ops.append_column(c, values)
+    return ops
+
+
+def replay_rows(
+    ops: DataFrame, notes: DataFrame | None = None, of_target: Sequence[str] = (), of_removal: Sequence[str] = (),
+    block_rows: int = LIST_BLOCK_ROWS, group_rows: int = LIST_GROUP_ROWS,
+) -> DataFrame:
+    """Operations next to ``(ok, target_seq, n_after, gone_seq)``, their notes and the other end of their removals.
+
+    ``ops`` is ``(list_key, seq, op, index, ...)`` with ``seq`` dense and grouped by list, ``op``
+    one of add, remove, look, and ``index`` the 1-based place for a removal. Rows without a
+    ``list_key`` pass through. ``target_seq`` is the add operation whose entry was removed,
+    ``n_after`` the length afterwards; an entry that was removed has the ``seq`` of the removal as
+    ``gone_seq``. ``notes`` is ``(seq, ...)``; each of its columns has at most one value for a
+    ``seq``, and is added. ``of_target`` names columns of a removed entry that are put beside its
+    removal as ``target_*``, ``of_removal`` those of a removal beside its entry as ``gone_*``.
+
+    Whole rows are shuffled once, to their block. What a removal and its entry tell each other
+    stays there, but for lists that cross a block. No group is given more than ``block_rows``
+    operations, with their notes, or ``group_rows`` numbers of summaries.
+    """
+    spark, of_target, of_removal = ops.sparkSession, list(of_target), list(of_removal)
+    block = F.expr(f"seq div {block_rows}").alias("block")
+    if notes is None:
+        notes = spark.createDataFrame([], "seq long")
+    more = [c for c in notes.columns if c != "seq"]
     # Stretches of lists that cross a block boundary, at most two a block. A list is contiguous,
     # so each block it reaches into touches one of its boundaries.
-    at_edge = F.expr(f"seq % {block_rows} in (0, {block_rows - 1})")
-    crossing = (
+    at_edge = F.expr(f"seq % {block_rows} in (0, {block_rows - 1}) and list_key is not null")
+    crossing = durable(
         ops.filter(at_edge)
         .groupBy(F.expr(f"(seq + 1) div {block_rows}").alias("edge"), "list_key")
-        .agg(F.count_distinct("block").alias("sides"))
+        .agg(F.count_distinct(block).alias("sides"))
         .filter("sides > 1")
         .select("list_key", F.explode(F.array(F.col("edge") - 1, F.col("edge"))).alias("block"))
-        .distinct()
+        .distinct(),
+        "crossing",
     )
     stretch = ["list_key", "block"]
     summaries = durable(
-        ops.join(crossing, stretch, "left_semi")
+        ops.select("list_key", "seq", "op", F.coalesce("index", F.lit(0)).cast("long").alias("index"), block).join(broadcast_small(crossing, MAX_BROADCAST_ROWS), stretch, "left_semi")
         .groupBy("block").applyInPandas(_summarise, "list_key string, block long, shift long, need array<long>"),
         "summaries",
     )
     short, long = _by_size(summaries, "need", group_rows)
     starts = short.groupBy("list_key").applyInPandas(_starting_lengths, "list_key string, block long, n_start long")
     if long is not None:
-        starts = durable(starts.unionByName(starting_lengths(long)), "starts")
-    known = ops.join(starts, stretch, "left").fillna(0, ["n_start"])
-    resolved = durable(
-        known.groupBy("block").applyInPandas(
-            _resolve,
-            "list_key string, block long, seq long, ok boolean, hit_seq long, hit_pos long, n_after long, kept_rank long",
-        ),
-        "resolved",
-    )
+        starts = starts.unionByName(starting_lengths(long))
+    starts = durable(starts, "starts")
+    beside = notes.withColumn("block", block).unionByName(starts, allowMissingColumns=True)
+
+    def settle(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        return _settle(key[0].as_py(), left, right, more, of_target, of_removal)
+
+    types = {f.name: f.dataType for f in [*ops.schema.fields, *notes.schema.fields]}
+    schema = StructType([StructField(c, t) for c, t in {
+        **{c: types[c] for c in ops.columns}, "block": LongType(), **{c: types[c] for c in more},
+        "ok": BooleanType(), "hit_pos": LongType(), "n_after": LongType(), "kept_rank": LongType(),
+        "target_seq": LongType(), **{f"target_{c}": types[c] for c in of_target},
+        "gone_seq": LongType(), **{f"gone_{c}": types[c] for c in of_removal},
+    }.items()])
+    resolved = durable(ops.withColumn("block", block).groupBy("block").cogroup(beside.groupBy("block")).applyInArrow(settle, schema), "resolved")
+    plain = resolved.drop("block", "hit_pos", "kept_rank")
 
-    shared = resolved.join(crossing, stretch, "left_semi")
+    # What lists that cross a block removed of earlier blocks.
+    shared = resolved.filter("hit_pos > 0 or kept_rank >= 0").join(broadcast_small(crossing, MAX_BROADCAST_ROWS), stretch, "left_semi")
     removed = durable(
         shared.groupBy(*stretch).agg(
             F.array_sort(F.collect_list(F.when(F.col("hit_pos") > 0, F.col("hit_pos")))).alias("positions"),
@@ -213,12 +287,22 @@ def replay_lists(ops: DataFrame, block_rows: int = LIST_BLOCK_ROWS, group_rows:
     if long is not None:
         located = located.unionByName(origins(long.join(starts, stretch)))
     leftovers = shared.filter("kept_rank >= 0").select(
-        "list_key", F.col("block").alias("origin"), "kept_rank", F.col("seq").alias("old_seq")
+        "list_key", F.col("block").alias("origin"), "kept_rank", F.col("seq").alias("old_seq"), *[F.col(c).alias(f"target_{c}") for c in of_target]
     )
-    removed_old = located.join(leftovers, ["list_key", "origin", "kept_rank"]).select(
-        "list_key", "block", "hit_pos", "old_seq"
-    )
-    target = F.when(F.col("hit_seq") >= 0, F.col("hit_seq")).otherwise(F.col("old_seq"))
-    return resolved.join(removed_old, ["list_key", "block", "hit_pos"], "left").select(
-        "seq", "ok", target.alias("target_seq"), "n_after"
+    removals = shared.filter("hit_pos > 0").select(*stretch, "hit_pos", "seq", *[F.col(c).alias(f"gone_{c}") for c in of_removal])
+    pairs = located.join(leftovers, ["list_key", "origin", "kept_rank"]).join(removals, [*stretch, "hit_pos"])
+    pairs = durable(pairs.select("seq", "old_seq", *[f"target_{c}" for c in of_target], *[f"gone_{c}" for c in of_removal]), "pairs")
+    ends = pairs.select("seq", F.col("old_seq").alias("target_seq"), *[f"target_{c}" for c in of_target]).unionByName(
+        pairs.select(F.col("old_seq").alias("seq"), F.col("seq").alias("gone_seq"), *[f"gone_{c}" for c in of_removal]), allowMissingColumns=True
     )
+    far = [c for c in ends.columns if c != "seq"]
+    ends = ends.withColumnsRenamed({c: f"_far_{c}" for c in far})
+    few = ends.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    both = plain.join(F.broadcast(ends) if few else ends, "seq", "left")
+    both = both.withColumns({c: F.coalesce(c, f"_far_{c}") for c in far}).select(*plain.columns)
+    return both if few else durable(both, "rows")  # so that whole rows are joined once
+
+
+def replay_lists(ops: DataFrame, block_rows: int = LIST_BLOCK_ROWS, group_rows: int = LIST_GROUP_ROWS) -> DataFrame:
+    """Outcome of each operation ``(list_key, seq, op, index)``: ``(seq, ok, target_seq, n_after)``."""
+    return replay_rows(ops, block_rows=block_rows, group_rows=group_rows).select("seq", "ok", "target_seq", "n_after")

@@ -14,7 +14,7 @@ from pyspark.sql.window import Window as W
 
 from dialogprep.functions.clock import iso_local, watch_text
 from dialogprep.functions.text import strip_ws
-from dialogprep.operators.lists import LIST_BLOCK_ROWS, replay_lists
+from dialogprep.operators.lists import LIST_BLOCK_ROWS, replay_rows
 from dialogprep.operators.order import BLOCK_ROWS, ordered_index, scan
 from dialogprep.session import durable
 
@@ -85,10 +85,8 @@ class Replayed:
 
 
 def _choose(column: str, position: int) -> Column:
-    out = F.lit(None).cast("string")
-    for tool, facts in TOOL_KIND.items():
-        out = F.when(F.col(column) == tool, F.lit(facts[position])).otherwise(out)
-    return out
+    chosen = F.create_map(*[F.lit(v) for tool, facts in TOOL_KIND.items() for v in (tool, facts[position])])
+    return F.element_at(chosen, F.col(column))
 
 
 def _say(kind: Column, what: str, *args: Column) -> Column:
@@ -156,8 +154,6 @@ def replay(
     ``start_ids`` the last used id of each kind.
     """
     kind, owner = list_of_call(diary_owner)
-    # The range exchange below reads its input twice, once to sample it; calls may be costly to parse.
-    calls = durable(calls, "calls")
     ops = calls.select(
         "user_id", *_CALL_ORDER, "tool", "text_arg", "index_arg",
         strip_ws(F.col("subject")).alias("subject"), strip_ws(F.col("body")).alias("body"),
@@ -180,10 +176,10 @@ def replay(
         ops = ops.withColumn("_created", F.col("ts"))
     ops = ops.withColumn("op", F.when(F.col("rejected").isNotNull(), F.lit("look")).otherwise(F.col("op")))
 
+    # The range exchange reads its input twice, once to sample it; calls may be costly to parse.
+    ops = durable(ops, "ops")
     # Nulls sort first, so starting entries (ts is null) lead their list.
     numbered = ordered_index(ops, ["kind", "owner", *_CALL_ORDER], "seq")
-    on_lists = numbered.filter("kind is not null").withColumn("list_key", F.concat_ws("|", "kind", "owner"))
-    results = replay_lists(on_lists.select("list_key", "seq", "op", F.col("index_arg").alias("index")), block_rows)
     # Dense ids in order of insertion, per kind.
     fresh = ordered_index(
         numbered.filter("op = 'add' and tool is not null").select("kind", *_CALL_ORDER, "seq"),
@@ -197,39 +193,40 @@ def replay(
         "seq", (F.col("_n") - F.col("_first") + 1 + used).alias("_new_id")
     )
 
-    stamp = F.when(F.col("tool") == "recall_reminders", F.struct("seq", "ts"))
-    timed = scan(
-        numbered.filter("kind = 'reminder'").select("kind", "owner", "seq", "tool", "ts"), ["kind", "owner"], "seq",
-        max_before={"_seen": stamp}, max_all={"_last_seen": stamp}, block_rows=block_rows,
-    ).select("seq", "_seen", "_last_seen")
-    joined = numbered.join(results, "seq", "left").join(ids, "seq", "left").join(timed, "seq", "left")
-    # Entries, outcomes and listings all start from here, so the joins run once.
-    facts = durable(joined.withColumn("entry_id", F.coalesce("entry_id", "_new_id")).drop("_new_id"), "facts")
-
-    removals = facts.filter("op = 'remove' and ok").select(
-        F.col("target_seq").alias("seq"), F.col("seq").alias("gone_seq"), F.col("ts").alias("gone_ts"),
-        F.col("tool").alias("gone_by"), F.col("_seen").alias("_seen_before_gone"),
-    )
+    listed = numbered.withColumn("list_key", F.when(F.col("kind").isNotNull(), F.concat_ws("|", "kind", "owner"))).withColumnRenamed("index_arg", "index")
+    if ops.filter("tool = 'recall_reminders'").isEmpty():
+        nobody = F.lit(None).cast("struct<seq:bigint,ts:timestamp>")
+        facts = replay_rows(listed, ids, ["subject"], ["ts", "tool"], block_rows).withColumns({"_last_seen": nobody, "gone__seen": nobody})
+    else:
+        stamp = F.when(F.col("tool") == "recall_reminders", F.struct("seq", "ts"))
+        timed = scan(
+            numbered.filter("kind = 'reminder'").select("kind", "owner", "seq", "tool", "ts"), ["kind", "owner"], "seq",
+            max_before={"_seen": stamp}, max_all={"_last_seen": stamp}, block_rows=block_rows,
+        ).filter("tool is null or tool <> 'recall_reminders'").select("seq", "_seen", "_last_seen")
+        facts = replay_rows(listed, ids.unionByName(timed, allowMissingColumns=True), ["subject"], ["ts", "tool", "_seen"], block_rows)
+    facts = facts.withColumnRenamed("index", "index_arg")
+    # Entries, outcomes and listings all start from here.
+    facts = facts.withColumn("entry_id", F.coalesce("entry_id", "_new_id")).drop("_new_id", "list_key")
+
     content = F.when(F.col("kind") == "diary", F.when(F.col("tool").isNull(), F.col("text_arg")).otherwise(
         diary_page(F.col("ts"), F.col("text_arg")))).otherwise(F.col("text_arg"))
-    done = F.col("gone_by") == "complete_reminder"
-    seen = F.when(F.col("gone_seq").isNull(), F.col("_last_seen")).otherwise(F.col("_seen_before_gone"))
+    done = F.col("gone_tool") == "complete_reminder"
+    seen = F.when(F.col("gone_seq").isNull(), F.col("_last_seen")).otherwise(F.col("gone__seen"))
     seen_ts = F.when(seen["seq"] > F.col("seq"), seen["ts"]).otherwise(F.col("checked_before"))
-    lifetimes = facts.filter("op = 'add'").join(removals, "seq", "left").select(
+    lifetimes = facts.filter("op = 'add'").select(
         "kind", "owner", "entry_id", content.alias("content"), "subject", "body", F.col("_created").alias("created_at"),
         F.when(done, F.col("gone_ts")).otherwise(seen_ts).alias("last_checked_at"),
-        F.when(done, F.col("gone_ts")).alias("completed_at"), F.col("seq").alias("came_seq"), "gone_seq", "gone_by",
+        F.when(done, F.col("gone_ts")).alias("completed_at"), F.col("seq").alias("came_seq"), "gone_seq", F.col("gone_tool").alias("gone_by"),
     )
     entries = lifetimes.filter("gone_seq is null or gone_by = 'complete_reminder'").select(*ENTRY_COLUMNS)
     if state is not None:
         entries = entries.unionByName(state.filter("completed_at is not null").select(*ENTRY_COLUMNS))
 
-    named = lifetimes.filter("gone_seq is not null").select(F.col("gone_seq").alias("seq"), F.col("subject").alias("_target"))
     k, index = F.col("kind"), F.col("index_arg").cast("string")
     watch = watch_text(F.col("ts"))
     removed = F.when(k == "reminder", F.when(
-        F.col("tool") == "complete_reminder", _say(k, "completed", F.col("_target"))
-    ).otherwise(_say(k, "deleted", F.col("_target")))).otherwise(_say(k, "deleted", index))
+        F.col("tool") == "complete_reminder", _say(k, "completed", F.col("target_subject"))
+    ).otherwise(_say(k, "deleted", F.col("target_subject")))).otherwise(_say(k, "deleted", index))
     added = F.when(k == "reminder", _say(k, "added", F.col("subject"))).otherwise(_say(k, "added"))
     message = (
         F.when(F.col("tool") == "check_watch", watch["message"])
@@ -239,7 +236,7 @@ def replay(
         .when(F.col("op") == "remove", _say(k, "missing", index))
         .when(F.col("n_after") == 0, _say(k, "empty"))
     )
-    outcomes = facts.filter("tool is not null").join(named, "seq", "left").select(
+    outcomes = facts.filter("tool is not null").select(
         "user_id", *_CALL_ORDER, "tool", "kind", "owner", "seq",
         F.when(F.col("rejected").isNotNull(), F.lit(False)).when(F.col("op").isin("add", "remove"), F.col("ok")).alias("success"),
         message.alias("message"), F.when(F.col("op") == "add", F.col("entry_id")).alias("entry_id"),

@@ -2,9 +2,10 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from dialogprep.operators import lists
-from dialogprep.operators.lists import _nth_free, replay_lists
+from dialogprep.operators.lists import _nth_free, replay_lists, replay_rows
 
 
 def brute(ops):
@@ -79,3 +80,21 @@ def test_a_block_of_many_small_lists_builds_no_frame_per_list(monkeypatch):
     assert out["hit_seq"].tolist()[1::3] == list(range(0, 3 * n, 3))
     assert lists._summarise((0,), ops)[["shift"]].to_numpy().sum() == 0
     assert len(frames) < 100
+
+
+@pytest.mark.parametrize("block_rows", [8, 100_000])
+def test_removals_and_entries_know_each_other(spark, block_rows):
+    ops = make_log(random.Random(4), {"a": 3, "b": 30, "hot": 90}, 0.6, 5)
+    df = spark.createDataFrame([(*o, f"t{o[1]}") for o in ops] + [(None, len(ops), "look", None, "loose")], "list_key string, seq long, op string, index long, text string")
+    notes = df.filter("seq % 3 = 0").select("seq", F.concat(F.lit("n"), "seq").alias("note"))
+    rows = {r.seq: r for r in replay_rows(df, notes, ["text"], ["text", "note"], block_rows).collect()}
+    want = brute(ops)
+    removed = {target: seq for seq, (_, target, _) in want.items() if target is not None}
+    note = lambda seq: f"n{seq}" if seq % 3 == 0 else None
+    assert removed and len(rows) == len(ops) + 1
+    for seq, (ok, target, n_after) in want.items():
+        r, by = rows[seq], removed.get(seq)
+        assert (r.ok, r.target_seq, r.n_after, r.note) == (ok, target, n_after, note(seq))
+        assert r.target_text == (None if target is None else f"t{target}")
+        assert (r.gone_seq, r.gone_text, r.gone_note) == ((None, None, None) if by is None else (by, f"t{by}", note(by)))
+    assert (rows[len(ops)].ok, rows[len(ops)].n_after, rows[len(ops)].text) == (None, None, "loose")

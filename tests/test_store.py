@@ -148,6 +148,14 @@ def test_replay_goes_on_from_a_state(spark):
         assert (r.success, r.message) == said[r.op_id]
 
 
+def test_outcomes_and_entries_of_a_replay_shuffle_nothing_again(spark):
+    calls = make_calls(random.Random(7), 60)
+    done = store.replay(spark.createDataFrame(calls, CALLS))
+    for df in (done.outcomes, done.entries, done.lifetimes):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
 @pytest.mark.parametrize("compact_every", [2, 50])
 def test_stream_matches_batch_for_any_split(spark, tmp_path, compact_every):
     calls = make_calls(random.Random(3), 150)
