@@ -24,12 +24,13 @@ def _t(column) -> F.Column:
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
-def _calls(spark, sf, log):
-    return tool_calls(view(spark, sf, log))
+def _calls(spark, sf, log, *kinds):
+    """The calls of a log; with ``kinds``, of those that work on lists of these kinds."""
+    return tool_calls(view(spark, sf, log), tools=store.tools_of(*kinds) if kinds else None)
 
 
-def _replay(spark, sf, log=TOOL_LOG):
-    return store.replay(_calls(spark, sf, log))
+def _replay(spark, sf, log=TOOL_LOG, *kinds):
+    return store.replay(_calls(spark, sf, log, *kinds))
 
 
 def fifo(add: str, remove: str, owner: str = "user_id::varchar", p: str = "m", source: str = "events") -> str:

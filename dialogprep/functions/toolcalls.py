@@ -20,8 +20,8 @@ TOOLS = (
     "check_watch",
 )
 
-# One quoted literal on one line, with backslash escapes.
-_LITERAL = r"""(?:"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+')"""
+# One quoted literal on one line, with backslash escapes; runs of plain characters are taken at once.
+_LITERAL = r"""(?:"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+')"""
 _OTHER = r"[+-]?\d+(?:\.\d*)?|True|False|None"
 _LITERAL_LIST = rf"(?s)^\s*{_LITERAL}(?:\s*,\s*(?:{_LITERAL}|{_OTHER}))*+\s*,?\s*$"
 

@@ -13,11 +13,14 @@ ADDS_TEXT = ("add_memory", "add_diary")
 BY_INDEX = ("delete_memory", "delete_diary", "complete_reminder", "delete_reminder")
 
 
-def tool_calls(df: DataFrame, content: str = "content", first_only: bool = True, strict: bool = False) -> DataFrame:
+def tool_calls(
+    df: DataFrame, content: str = "content", first_only: bool = True, strict: bool = False, tools: Sequence[str] | None = None
+) -> DataFrame:
     """One row per valid call, next to the columns of its reply other than the text.
 
     Calls that name no tool or whose arguments do not parse vanish; later ones keep their
     ``call_pos``. ``first_only`` keeps the first string of a list argument and drops the rest.
+    ``tools`` names the only tools whose calls are wanted: the arguments of others are not parsed.
     """
     keep = [c for c in df.columns if c != content]
     call, tool = F.col("_call.call"), F.col("_call.tool")
@@ -26,7 +29,7 @@ def tool_calls(df: DataFrame, content: str = "content", first_only: bool = True,
     named = F.transform(
         T.extract_tool_calls(F.col(content)), lambda c: F.struct(c.alias("call"), T.classify_tool(c, strict).alias("tool"))
     )
-    rows = df.select(*keep, F.posexplode(named).alias("call_pos", "_call")).filter(tool.isNotNull())
+    rows = df.select(*keep, F.posexplode(named).alias("call_pos", "_call")).filter(tool.isNotNull() if tools is None else tool.isin(*tools))
     # what is cut out is read more than once to get its value
     pieces = F.struct(
         F.when(tool.isin(*ADDS_TEXT), T.list_body(call)).alias("_list"),

@@ -87,34 +87,48 @@ def _starting_lengths(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf[["list_key", "block"]].assign(n_start=np.asarray(lengths, dtype=np.int64))
 
 
+def _outcomes(edges: list[int], adds: list[bool], removes: list[bool], index: list[int], n_start: list[int]) -> dict[str, np.ndarray]:
+    """Outcome of each operation of a block by its row; list ``k`` has the rows ``edges[k] .. edges[k + 1] - 1``.
+
+    ``hit`` is the row whose entry a removal takes, ``old`` the place in the starting list instead,
+    ``rank`` the place of an entry among those that its list keeps of the block.
+    """
+    n = edges[-1]
+    ok, hit, old, size, rank = [True] * n, [-1] * n, [-1] * n, [0] * n, [-1] * n
+    for a, b, left in zip(edges, edges[1:], n_start):
+        gone, own = [], []
+        for row in range(a, b):
+            if adds[row]:
+                own.append(row)
+            elif removes[row]:
+                place = index[row]
+                if not 1 <= place <= left + len(own):
+                    ok[row] = False
+                elif place <= left:
+                    old[row] = _nth_free(gone, place)
+                    insort(gone, old[row])
+                    left -= 1
+                else:
+                    hit[row] = own.pop(place - left - 1)
+            size[row] = left + len(own)
+        for place, row in enumerate(own):
+            rank[row] = place
+    long = {"hit": hit, "old": old, "n_after": size, "kept_rank": rank}
+    return {"ok": np.array(ok, dtype=bool), **{c: np.array(values, dtype=np.int64) for c, values in long.items()}}
+
+
 def _resolve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """Outcome of each operation of a block, given the starting lengths."""
-    lists, seqs, oks, hits, olds, sizes, ranks = [], [], [], [], [], [], []
-    for list_key, part in _stretches(pdf):
-        n_start, gone, own, first = int(part["n_start"][0]), [], [], len(seqs)
-        for seq, op, index in zip(part["seq"], part["op"], part["index"]):
-            ok, hit, old = True, -1, -1
-            if op == "add":
-                own.append(seq)
-            elif op == "remove":
-                left = n_start - len(gone)
-                ok = 1 <= index <= left + len(own)
-                if ok and index <= left:
-                    old = _nth_free(gone, int(index))
-                    insort(gone, old)
-                elif ok:
-                    hit = own.pop(int(index) - left - 1)
-            seqs.append(seq)
-            oks.append(ok)
-            hits.append(hit)
-            olds.append(old)
-            sizes.append(n_start - len(gone) + len(own))
-        place = {seq: i for i, seq in enumerate(own)}
-        ranks.extend(place.get(seq, -1) for seq in seqs[first:])
-        lists.extend([list_key] * len(part["seq"]))
+    pdf = pdf.sort_values("seq", kind="stable")
+    keys, seq, op = pdf["list_key"].to_numpy(), pdf["seq"].to_numpy(), pdf["op"].to_numpy()
+    first = np.concatenate(([True], keys[1:] != keys[:-1]))
+    starts = np.flatnonzero(first)
+    done = _outcomes(
+        [*starts.tolist(), len(keys)], (op == "add").tolist(), (op == "remove").tolist(), pdf["index"].tolist(), pdf["n_start"].to_numpy()[starts].tolist()
+    )
     return pd.DataFrame({
-        "list_key": lists, "block": key[0], "seq": seqs, "ok": oks, "hit_seq": hits, "hit_pos": olds,
-        "n_after": sizes, "kept_rank": ranks,
+        "list_key": keys, "block": key[0], "seq": seq, "ok": done["ok"], "hit_seq": np.where(done["hit"] < 0, -1, seq[done["hit"]]),
+        "hit_pos": done["old"], "n_after": done["n_after"], "kept_rank": done["kept_rank"],
     })
 
 
@@ -272,7 +286,12 @@ def replay_rows(
     plain = resolved.drop("block", "hit_pos", "kept_rank")
 
     # What lists that cross a block removed of earlier blocks.
-    shared = resolved.filter("hit_pos > 0 or kept_rank >= 0").join(broadcast_small(crossing, MAX_BROADCAST_ROWS), stretch, "left_semi")
+    shared = durable(
+        resolved.filter("hit_pos > 0 or kept_rank >= 0")
+        .select(*stretch, "hit_pos", "kept_rank", "seq", *dict.fromkeys([*of_target, *of_removal]))
+        .join(broadcast_small(crossing, MAX_BROADCAST_ROWS), stretch, "left_semi"),
+        "shared",
+    )
     removed = durable(
         shared.groupBy(*stretch).agg(
             F.array_sort(F.collect_list(F.when(F.col("hit_pos") > 0, F.col("hit_pos")))).alias("positions"),

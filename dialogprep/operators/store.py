@@ -108,12 +108,21 @@ def diary_page(ts: Column, content: Column) -> Column:
 
 def reminder_rejection(subject: Column, body: Column) -> Column:
     """The message for a reminder that cannot be stored, null for a good one."""
+    return _stripped_rejection(strip_ws(subject), strip_ws(body))
+
+
+def _stripped_rejection(subject: Column, body: Column) -> Column:
     texts = MESSAGES["reminder"]
-    return F.when(strip_ws(F.coalesce(subject, F.lit(""))) == "", F.lit(texts["no_subject"])).when(
-        strip_ws(F.coalesce(body, F.lit(""))) == "", F.lit(texts["no_body"])
+    return F.when(F.coalesce(subject, F.lit("")) == "", F.lit(texts["no_subject"])).when(
+        F.coalesce(body, F.lit("")) == "", F.lit(texts["no_body"])
     )
 
 
+def tools_of(*kinds: str) -> list[str]:
+    """The tools that work on the lists of these kinds. Lists of other kinds neither change them nor their ids."""
+    return [tool for tool, (kind, _) in TOOL_KIND.items() if kind in kinds]
+
+
 def after_last_reset(ops: DataFrame, tool: str = "tool") -> DataFrame:
     """Operations that still count: those after the last ``reset`` row of the log."""
     place = F.struct(*_CALL_ORDER)
@@ -151,35 +160,37 @@ def replay(
 
     Memories and reminders belong to ``user_id``; the diary is a single list unless
     ``diary_owner`` names a column that owns pages. ``state`` gives the entries to start from,
-    ``start_ids`` the last used id of each kind.
+    ``start_ids`` the last used id of each kind. Calls that work on no list only pass by, with
+    numbers below 0 as ``seq``.
     """
     kind, owner = list_of_call(diary_owner)
-    ops = calls.select(
-        "user_id", *_CALL_ORDER, "tool", "text_arg", "index_arg",
-        strip_ws(F.col("subject")).alias("subject"), strip_ws(F.col("body")).alias("body"),
-        kind.alias("kind"), owner.alias("owner"), _choose("tool", 1).alias("op"),
-        F.when(F.col("tool") == "add_reminder", reminder_rejection(F.col("subject"), F.col("body"))).alias("rejected"),
-        F.lit(None).cast("bigint").alias("entry_id"), F.lit(None).cast("timestamp").alias("checked_before"),
-    )
+    given = calls.withColumns({
+        "subject": strip_ws(F.col("subject")), "body": strip_ws(F.col("body")), "kind": kind, "owner": owner, "op": _choose("tool", 1),
+    })
+    subject, body = F.col("subject"), F.col("body")
+    rejected = F.when(F.col("tool") == "add_reminder", _stripped_rejection(subject, body))
+    log = ["user_id", *_CALL_ORDER, "tool", "text_arg", "index_arg", "subject", "body", "kind", "op", "list_key"]
+    ops = given.withColumns({
+        "op": F.when(rejected.isNotNull(), F.lit("look")).otherwise(F.col("op")), "list_key": F.when(F.col("kind").isNotNull(), F.concat_ws("|", "kind", "owner")),
+    }).select(*log)
     if state is not None:
         # Open entries join the log as adds that precede it; they keep their ids.
         earlier = state.filter("completed_at is null").select(
             F.lit(None).cast("string").alias("user_id"), F.lit(None).cast("timestamp").alias("ts"),
             F.col("entry_id").alias("op_id"), F.lit(0).cast("bigint").alias("call_pos"),
             F.lit(0).cast("bigint").alias("item_pos"), F.lit(None).cast("string").alias("tool"),
-            F.col("content").alias("text_arg"), F.lit(None).cast("bigint").alias("index_arg"), "subject", "body", "kind", "owner",
-            F.lit("add").alias("op"), F.lit(None).cast("string").alias("rejected"), "entry_id",
+            F.col("content").alias("text_arg"), F.lit(None).cast("bigint").alias("index_arg"), "subject", "body", "kind",
+            F.lit("add").alias("op"), F.concat_ws("|", "kind", "owner").alias("list_key"), "entry_id",
             F.col("last_checked_at").alias("checked_before"), F.col("created_at").alias("_created"),
         )
-        ops = ops.withColumn("_created", F.col("ts")).unionByName(earlier)
-    else:
-        ops = ops.withColumn("_created", F.col("ts"))
-    ops = ops.withColumn("op", F.when(F.col("rejected").isNotNull(), F.lit("look")).otherwise(F.col("op")))
+        ops = ops.unionByName(earlier, allowMissingColumns=True)
 
     # The range exchange reads its input twice, once to sample it; calls may be costly to parse.
-    ops = durable(ops, "ops")
-    # Nulls sort first, so starting entries (ts is null) lead their list.
-    numbered = ordered_index(ops, ["kind", "owner", *_CALL_ORDER], "seq")
+    ops = durable(ops.withColumn("_row", F.monotonically_increasing_id()), "ops")
+    # Any order of the lists does; numbers tell most rows apart where texts would have to be read. Lists of
+    # one number stay apart by their key. Nulls sort first, so starting entries (ts is null) lead their list.
+    listed = ops.filter("list_key is not null").drop("_row").withColumn("_list", F.xxhash64("list_key"))
+    numbered = ordered_index(listed, ["_list", "list_key", *_CALL_ORDER], "seq").drop("_list")
     # Dense ids in order of insertion, per kind.
     fresh = ordered_index(
         numbered.filter("op = 'add' and tool is not null").select("kind", *_CALL_ORDER, "seq"),
@@ -193,20 +204,27 @@ def replay(
         "seq", (F.col("_n") - F.col("_first") + 1 + used).alias("_new_id")
     )
 
-    listed = numbered.withColumn("list_key", F.when(F.col("kind").isNotNull(), F.concat_ws("|", "kind", "owner"))).withColumnRenamed("index_arg", "index")
+    stepped = numbered.drop("kind").withColumnRenamed("index_arg", "index")
     if ops.filter("tool = 'recall_reminders'").isEmpty():
         nobody = F.lit(None).cast("struct<seq:bigint,ts:timestamp>")
-        facts = replay_rows(listed, ids, ["subject"], ["ts", "tool"], block_rows).withColumns({"_last_seen": nobody, "gone__seen": nobody})
+        facts = replay_rows(stepped, ids, ["subject"], ["ts", "tool"], block_rows).withColumns({"_last_seen": nobody, "gone__seen": nobody})
     else:
         stamp = F.when(F.col("tool") == "recall_reminders", F.struct("seq", "ts"))
         timed = scan(
-            numbered.filter("kind = 'reminder'").select("kind", "owner", "seq", "tool", "ts"), ["kind", "owner"], "seq",
+            numbered.filter("kind = 'reminder'").select("list_key", "seq", "tool", "ts"), ["list_key"], "seq",
             max_before={"_seen": stamp}, max_all={"_last_seen": stamp}, block_rows=block_rows,
         ).filter("tool is null or tool <> 'recall_reminders'").select("seq", "_seen", "_last_seen")
-        facts = replay_rows(listed, ids.unionByName(timed, allowMissingColumns=True), ["subject"], ["ts", "tool", "_seen"], block_rows)
-    facts = facts.withColumnRenamed("index", "index_arg")
+        facts = replay_rows(stepped, ids.unionByName(timed, allowMissingColumns=True), ["subject"], ["ts", "tool", "_seen"], block_rows)
     # Entries, outcomes and listings all start from here.
-    facts = facts.withColumn("entry_id", F.coalesce("entry_id", "_new_id")).drop("_new_id", "list_key")
+    bar = F.instr("list_key", "|")  # an owner may be null
+    facts = facts.withColumnRenamed("index", "index_arg").withColumns({
+        "kind": F.substring_index("list_key", "|", 1), "owner": F.when(bar > 0, F.substr("list_key", bar + 1)),
+    })
+    if state is None:
+        facts = facts.withColumns({"entry_id": F.col("_new_id"), "checked_before": F.lit(None).cast("timestamp"), "_created": F.col("ts")})
+    else:
+        facts = facts.withColumns({"entry_id": F.coalesce("entry_id", "_new_id"), "_created": F.coalesce("_created", F.when(F.col("tool").isNotNull(), F.col("ts")))})
+    facts = facts.drop("_new_id", "list_key")
 
     content = F.when(F.col("kind") == "diary", F.when(F.col("tool").isNull(), F.col("text_arg")).otherwise(
         diary_page(F.col("ts"), F.col("text_arg")))).otherwise(F.col("text_arg"))
@@ -222,6 +240,8 @@ def replay(
     if state is not None:
         entries = entries.unionByName(state.filter("completed_at is not null").select(*ENTRY_COLUMNS))
 
+    loose = ops.filter("list_key is null").withColumns({"seq": -1 - F.col("_row"), "owner": F.col("user_id").cast("string")})
+    facts = facts.unionByName(loose.drop("list_key", "_row"), allowMissingColumns=True)
     k, index = F.col("kind"), F.col("index_arg").cast("string")
     watch = watch_text(F.col("ts"))
     removed = F.when(k == "reminder", F.when(
@@ -230,7 +250,7 @@ def replay(
     added = F.when(k == "reminder", _say(k, "added", F.col("subject"))).otherwise(_say(k, "added"))
     message = (
         F.when(F.col("tool") == "check_watch", watch["message"])
-        .when(F.col("rejected").isNotNull(), F.col("rejected"))
+        .when(rejected.isNotNull(), rejected)
         .when(F.col("op") == "add", added)
         .when((F.col("op") == "remove") & F.col("ok"), removed)
         .when(F.col("op") == "remove", _say(k, "missing", index))
@@ -238,7 +258,7 @@ def replay(
     )
     outcomes = facts.filter("tool is not null").select(
         "user_id", *_CALL_ORDER, "tool", "kind", "owner", "seq",
-        F.when(F.col("rejected").isNotNull(), F.lit(False)).when(F.col("op").isin("add", "remove"), F.col("ok")).alias("success"),
+        F.when(rejected.isNotNull(), F.lit(False)).when(F.col("op").isin("add", "remove"), F.col("ok")).alias("success"),
         message.alias("message"), F.when(F.col("op") == "add", F.col("entry_id")).alias("entry_id"),
         F.when(F.col("tool") == "check_watch", watch["timestamp"]).alias("timestamp"), "n_after",
     )
