@@ -138,13 +138,13 @@ def add_reminder(spark, sf):
 @query(f"""with {REMINDER} select owner, row_number() over (partition by owner order by entry_id) as "index", 's' || event_id as subject,
   'r' || event_id as body from r_lives where gone_op is null""")
 def open_reminders(spark, sf):
-    return store.open_reminders(_replay(spark, sf).entries).select("owner", "index", "subject", "body")
+    return store.open_reminders(_replay(spark, sf, TOOL_LOG, "reminder").entries).select("owner", "index", "subject", "body")
 
 
 @query(f"""with {REMINDER} select v.event_id as op_id, l.entry_id, 's' || l.event_id as subject
 from events v join r_lives l on l.owner = v.user_id::varchar and l.ts < v.ts and (l.gone_ts is null or l.gone_ts > v.ts) where v.event_type = 'view'""")
 def recall_reminders(spark, sf):
-    done = _replay(spark, sf, REMINDER_LOG)
+    done = _replay(spark, sf, REMINDER_LOG, "reminder")
     seen = store.recall_rows(done).filter("kind = 'reminder'")
     return seen.join(done.outcomes.select("seq", "op_id"), "seq").select("op_id", "entry_id", "subject")
 
@@ -154,7 +154,7 @@ def recall_reminders(spark, sf):
   from r_lives l left join events v on v.event_type = 'view' and v.user_id::varchar = l.owner and v.ts > l.ts
   group by l.entry_id, l.gone_ts)""")
 def reminder_stamps(spark, sf):
-    entries = _replay(spark, sf, REMINDER_LOG).entries.filter("kind = 'reminder'")
+    entries = _replay(spark, sf, REMINDER_LOG, "reminder").entries.filter("kind = 'reminder'")
     return entries.select("entry_id", _t("completed_at").alias("completed_at"), _t("last_checked_at").alias("last_checked_at"))
 
 
@@ -171,7 +171,7 @@ def complete_reminder(spark, sf):
 @query(f"with {REMINDER} select s.event_id as op_id, s.n_before > 0 as success, "
        + _REMOVED.format(text="'Deleted reminder ''s' || l.event_id || '''.'"))
 def delete_reminder(spark, sf):
-    return _replay(spark, sf, REMINDER_DELETE_LOG).outcomes.filter("tool = 'delete_reminder'").select("op_id", "success", "message")
+    return _replay(spark, sf, REMINDER_DELETE_LOG, "reminder").outcomes.filter("tool = 'delete_reminder'").select("op_id", "success", "message")
 
 
 @query(f"""with {REMINDER}, b as (select owner, '🔔 Reminder bulletin before this chat:' || chr(10) || string_agg(i || '. s' || event_id || ' — r' || event_id
@@ -181,7 +181,7 @@ select u.owner, b.bulletin, case when b.bulletin is null then 1 else 2 end as n_
 def bulletin(spark, sf):
     users = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("owner")).distinct()
     stamp = F.lit("2024-06-01 00:00:00").cast("timestamp")
-    texts = store.bulletin(_replay(spark, sf).entries, stamp, users)
+    texts = store.bulletin(_replay(spark, sf, TOOL_LOG, "reminder").entries, stamp, users)
     return texts.withColumn("n_system", F.size(store.opening_messages(F.lit("S"), F.col("bulletin"))))
 
 

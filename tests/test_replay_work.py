@@ -44,6 +44,14 @@ def test_calls_of_some_tools_are_those_of_all_calls(spark, kinds):
     assert some == sorted(map(repr, tool_calls(df).filter(F.col("tool").isin(*tools)).collect())) != []
 
 
+@pytest.mark.parametrize("name,kind", [
+    ("reminder_stamps", "reminder"),
+])
+def test_lists_of_other_kinds_are_not_replayed(spark, written, name, kind):
+    assert all_queries()[name](spark, SMALL).count() > 0
+    assert [r.kind for t in written["ops"] for r in t.select("kind").distinct().collect()] == [kind]
+
+
 def test_calls_without_a_list_only_pass_by(spark, written):
     rows = all_queries()["replay_outcomes"](spark, SMALL)
     assert rows.filter("tool = 'check_watch' and message is not null").count() > 0
