@@ -165,7 +165,7 @@ from r_steps s left join r_lives l on l.gone_op = s.event_id where s.d = -1"""
 @query(f"with {REMINDER} select s.event_id as op_id, s.n_before > 0 as success, "
        + _REMOVED.format(text="'Marked ''s' || l.event_id || ''' as complete.'"))
 def complete_reminder(spark, sf):
-    return _replay(spark, sf).outcomes.filter("tool = 'complete_reminder'").select("op_id", "success", "message")
+    return _replay(spark, sf, TOOL_LOG, "reminder").outcomes.filter("tool = 'complete_reminder'").select("op_id", "success", "message")
 
 
 @query(f"with {REMINDER} select s.event_id as op_id, s.n_before > 0 as success, "
