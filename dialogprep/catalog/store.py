@@ -93,20 +93,20 @@ def delete_memory(spark, sf):
 @query(f"""with {DIARY} select entry_id, strftime(ts, '%B %d, %Y') || chr(10) || 'm' || event_id as content, strftime(ts, '{_TIME}') as created_at
 from d_lives where gone_op is null""")
 def add_diary(spark, sf):
-    entries = _replay(spark, sf, DIARY_LOG).entries.filter("kind = 'diary'")
+    entries = _replay(spark, sf, DIARY_LOG, "diary").entries.filter("kind = 'diary'")
     return entries.select("entry_id", "content", _t("created_at").alias("created_at"))
 
 
 @query(f"""with {DIARY} select '' as owner, i as "index", i || '. ' || strftime(ts, '%B %d, %Y') || chr(10) || 'm' || event_id as line
 from (select *, row_number() over (order by entry_id) as i from d_lives where gone_op is null)""")
 def recall_diary(spark, sf):
-    return store.recall(_replay(spark, sf, DIARY_LOG).entries, "diary")
+    return store.recall(_replay(spark, sf, DIARY_LOG, "diary").entries, "diary")
 
 
 @query(f"""with {DIARY} select event_id as op_id, n_before > 0 as success, n_after,
   case when n_before > 0 then 'Diary at index 1 deleted successfully.' else 'Diary index 1 does not exist.' end as message from d_steps where d = -1""")
 def delete_diary(spark, sf):
-    return _replay(spark, sf, DIARY_LOG).outcomes.filter("tool = 'delete_diary'").select("op_id", "success", "message", "n_after")
+    return _replay(spark, sf, DIARY_LOG, "diary").outcomes.filter("tool = 'delete_diary'").select("op_id", "success", "message", "n_after")
 
 
 _OWN_DIARY = fifo("signup", "error", p="o")
@@ -114,7 +114,7 @@ _OWN_DIARY = fifo("signup", "error", p="o")
 
 @query(f"""with {_OWN_DIARY} select owner, entry_id, strftime(ts, '%B %d, %Y') || chr(10) || 'm' || event_id as content from o_lives where gone_op is null""")
 def diary_by_owner(spark, sf):
-    entries = store.replay(_calls(spark, sf, DIARY_LOG), diary_owner="user_id").entries
+    entries = store.replay(_calls(spark, sf, DIARY_LOG, "diary"), diary_owner="user_id").entries
     return entries.filter("kind = 'diary'").select("owner", "entry_id", "content")
 
 
@@ -225,7 +225,7 @@ def _snapshot(spark, sf):
 
 
 def _diary_snapshot(spark, sf):
-    return durable(store.replay(_calls(spark, sf, DIARY_LOG), diary_owner="user_id").entries, "snapshot")
+    return durable(store.replay(_calls(spark, sf, DIARY_LOG, "diary"), diary_owner="user_id").entries, "snapshot")
 
 
 def _batches(spark, sf):
