@@ -62,7 +62,7 @@ _WATCH = f"""'It''s currently ' || strftime(ts - case when {_SUMMER} then interv
 
 @query(f"with {MEMORY} select event_id as op_id, true as success, 'Successfully added 1 memory.' as message, entry_id from m_adds")
 def add_memory(spark, sf):
-    return _replay(spark, sf).outcomes.filter("tool = 'add_memory'").select("op_id", "success", "message", "entry_id")
+    return _replay(spark, sf, TOOL_LOG, "memory").outcomes.filter("tool = 'add_memory'").select("op_id", "success", "message", "entry_id")
 
 
 _USERS = "(select distinct user_id::varchar as owner from events union select 'nobody')"
@@ -74,20 +74,20 @@ union all select owner, 0, 'No memory stored.' from {_USERS} where owner not in
 def recall_memories(spark, sf):
     users = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("owner")).distinct()
     nobody = users.limit(1).select(F.lit("nobody").alias("owner"))
-    return store.recall(_replay(spark, sf).entries, "memory", users.unionByName(nobody))
+    return store.recall(_replay(spark, sf, TOOL_LOG, "memory").entries, "memory", users.unionByName(nobody))
 
 
 @query(f"""with {MEMORY}, o as (select owner, list(idx || '. ' || content order by idx) as l from {_OPEN_MEMORY} group by owner)
 select owner, 'Memories from the users memory vault: ' || to_json(l)::varchar as message from o""")
 def recall_message(spark, sf):
-    return store.recall_message(store.recall(_replay(spark, sf).entries, "memory"), "memory")
+    return store.recall_message(store.recall(_replay(spark, sf, TOOL_LOG, "memory").entries, "memory"), "memory")
 
 
 @query(f"""with {MEMORY} select event_id as op_id, n_before > 0 as success,
   case when n_before > 0 then 'Memory at index 1 deleted successfully.' else 'Memory index 1 does not exist.' end as message, n_after
 from m_steps where d = -1""")
 def delete_memory(spark, sf):
-    return _replay(spark, sf).outcomes.filter("tool = 'delete_memory'").select("op_id", "success", "message", "n_after")
+    return _replay(spark, sf, TOOL_LOG, "memory").outcomes.filter("tool = 'delete_memory'").select("op_id", "success", "message", "n_after")
 
 
 @query(f"""with {DIARY} select entry_id, strftime(ts, '%B %d, %Y') || chr(10) || 'm' || event_id as content, strftime(ts, '{_TIME}') as created_at
@@ -221,7 +221,7 @@ def reset_store(spark, sf):
 
 def _snapshot(spark, sf):
     """Open memories, or diary pages with owners, as a written table."""
-    return durable(_replay(spark, sf).entries, "snapshot")
+    return durable(_replay(spark, sf, TOOL_LOG, "memory").entries, "snapshot")
 
 
 def _diary_snapshot(spark, sf):
@@ -405,7 +405,7 @@ def status_events_add(spark, sf):
 select op_id, 0::bigint as seq, 'recall_in_progress' as status, 'Retrieving stored memories.' as description, false as done from {_BATCHES}
 union all select b.op_id, 1, 'recall_complete', coalesce(s.n || ' memories loaded', 'No memory stored.'), true from {_BATCHES} b left join s on s.owner = b.owner""")
 def status_events_recall(spark, sf):
-    return store.recall_events(_batches(spark, sf).select("op_id", "owner"), _replay(spark, sf).entries)
+    return store.recall_events(_batches(spark, sf).select("op_id", "owner"), _replay(spark, sf, TOOL_LOG, "memory").entries)
 
 
 # ---- whole logs -----------------------------------------------------------------------------

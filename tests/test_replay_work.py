@@ -45,7 +45,7 @@ def test_calls_of_some_tools_are_those_of_all_calls(spark, kinds):
 
 
 @pytest.mark.parametrize("name,kind", [
-    ("reminder_stamps", "reminder"), ("complete_reminder", "reminder"), ("batch_delete_diary", "diary"),
+    ("reminder_stamps", "reminder"), ("complete_reminder", "reminder"), ("batch_delete_diary", "diary"), ("batch_delete_memory", "memory"),
 ])
 def test_lists_of_other_kinds_are_not_replayed(spark, written, name, kind):
     assert all_queries()[name](spark, SMALL).count() > 0
