@@ -16,6 +16,11 @@ document or another. Four steps find those strings without comparing everything
 A text that occurs more than once as a whole is removed without any of this, and takes part once.
 What meets in one task is a document's own anchors, or a shard of ``SHARD_BYTES``.
 
+Passages of ``PASSAGE`` words or more that also stand in another document are counted beside this, whatever
+their bytes; nothing is removed for them. Their anchors are the smallest hashes of ``WORD_GRAM`` words, so
+equal stretches of words again have equal anchors. A stretch whose piece differs from the others of its anchor
+is told by a hash of 64 bits among those of the same anchor. White space between words doesn't matter.
+
 Null text counts as empty. Texts below ``length`` bytes lose nothing. Repeated rows are copies of
 each other. Rows are known by their text, so ids may repeat or be null. Very long texts are read whole,
 one at a time. An empty table gives no rows. Other columns are not read.
@@ -29,7 +34,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialogprep.session import durable
@@ -40,7 +45,11 @@ SHARD_BYTES = 256 << 10
 #: Sorting costs seconds for each MB, so tasks are cut by these bytes of pieces, not by what a shuffle writes.
 TASK_BYTES = 1 << 20
 MAX_TASKS = 32_768
+PASSAGE = 50
+WORD_GRAM = 12
 _B = 0x5851F42D4C957F2D
+#: The least number of one byte, of two, and so on.
+_BYTES = np.array([1 << 8 * k for k in range(8)], np.uint64)
 
 
 # ---- anchors
@@ -56,13 +65,20 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(out)
 
 
-def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """A mixed polynomial hash of every ``gram`` bytes."""
-    n = len(data)
+def _sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of a polynomial hash up to each place, and the powers that move a difference of two to place 0."""
+    n = len(values)
     power, inverse = _powers(1 << max(12, int(n + 1).bit_length()))
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * inverse[:n], out=sums[1:])
-    x = (sums[gram:] - sums[:-gram]) * power[gram - 1 : n]
+    np.cumsum(values * inverse[:n], out=sums[1:])
+    return sums, power
+
+
+def _byte_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return _sums(data.astype(np.uint64) + np.uint64(1))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(32)
@@ -70,15 +86,14 @@ def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first, last, anchor hash) of each run of starts of ``length`` bytes that share an anchor, leftmost on ties."""
-    n = len(data)
-    gram = min(gram, length)
-    if n < length:
-        none = np.empty(0, np.int64)
-        return none, none, np.empty(0, np.uint64)
-    h = gram_hashes(data, gram)
-    w = length - gram + 1
+def gram_hashes(data: np.ndarray, gram: int = GRAM, sums: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """A mixed polynomial hash of every ``gram`` bytes."""
+    sums, power = sums or _byte_sums(data)
+    return _mixed((sums[gram:] - sums[:-gram]) * power[gram - 1 : len(data)])
+
+
+def _lowest(h: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, smallest hash) of each run of stretches of ``w`` hashes that share their smallest, leftmost on ties."""
     low = np.uint64(0xFFFFFFFF)
     v = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     padded = np.full(-(-len(v) // w) * w, np.uint64(2**64 - 1))
@@ -86,13 +101,52 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
     rows = padded.reshape(-1, w)
     ahead = np.minimum.accumulate(rows, axis=1).ravel()
     behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    starts = n - length + 1
+    starts = len(h) - w + 1
     at = (np.minimum(behind[:starts], ahead[w - 1 : w - 1 + starts]) & low).astype(np.int64)
     first = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
     last = np.append(first[1:] - 1, starts - 1)
     return first, last, h[at[first]]
 
 
+def _no_runs() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    none = np.empty(0, np.int64)
+    return none, none, np.empty(0, np.uint64)
+
+
+def anchors(
+    data: np.ndarray, length: int = LENGTH, gram: int = GRAM, sums: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, anchor hash) of each run of starts of ``length`` bytes that share an anchor, leftmost on ties."""
+    if len(data) < length:
+        return _no_runs()
+    gram = min(gram, length)
+    return _lowest(gram_hashes(data, gram, sums), length - gram + 1)
+
+
+def word_hashes(data: np.ndarray, sums: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """A mixed hash of every word ``[^\\x20\\x09-\\x0D]+``, wherever it stands."""
+    sums, power = sums or _byte_sums(data)
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = (data != 0x20) & ((data - np.uint8(9)) > 4)
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edge[::2], edge[1::2]
+    return _mixed((sums[end] - sums[start]) * power[start])
+
+
+def _sequences(sums: tuple[np.ndarray, np.ndarray], n: int) -> np.ndarray:
+    """A mixed hash of every ``n`` words."""
+    sums, power = sums
+    return _mixed((sums[n:] - sums[:-n]) * power[: len(sums) - n])
+
+
+def word_anchors(words: np.ndarray, passage: int = PASSAGE, gram: int = WORD_GRAM, sums: tuple[np.ndarray, np.ndarray] | None = None):
+    """What ``anchors`` gives, for starts of ``passage`` words among the hashes ``words``."""
+    if len(words) < passage:
+        return _no_runs()
+    gram = min(gram, passage)
+    return _lowest(_sequences(sums or _sums(words), gram), passage - gram + 1)
+
+
 # ---- suffix arrays
 
 def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +161,7 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     words = np.zeros(n, np.uint64)
     for k in range(8):
         words = (words << np.uint64(8)) | padded[k : k + n]
-    order = np.argsort(words, kind="stable")
+    order = np.argsort(words)
     new = np.concatenate(([True], words[order][1:] != words[order][:-1]))
     rank = np.empty(n + 1, np.int64)
     rank[n] = -1
@@ -122,7 +176,7 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
             break
         own = order[places]
         key = rank[own] * (n + 2) + rank[np.minimum(own + h, n)] + 1
-        by_key = np.argsort(key, kind="stable")
+        by_key = np.argsort(key)
         own, key = own[by_key], key[by_key]
         order[places] = own
         fresh = np.concatenate(([True], key[1:] != key[:-1]))
@@ -137,36 +191,37 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, place: np.ndarray, firs
     """Bytes that each sorted suffix shares with the one before it, up to ``limit``.
 
     Kasai's rule: a suffix shares at most one byte less than the suffix that begins one byte earlier.
-    It holds where what follows that suffix's neighbour stands before the suffix. Neighbours that were
-    left in the order of their places may break this (the text goes on with the smaller byte in the
-    latter); there counting begins at 0. All pieces (``firsts``, ``sizes``) advance together, one byte at a time.
+    It holds where what follows that suffix's neighbour stands before the suffix. Neighbours that the
+    order leaves open may break this (the text goes on with the smaller byte in the latter); there
+    counting begins at 0. All pieces (``firsts``, ``sizes``) advance side by side, eight bytes at a time, each
+    to its next suffix as soon as one is counted.
     """
     n = len(data)
-    padded = np.concatenate([data, np.zeros(limit + 8, np.uint8)])
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    padded = np.zeros(n + 8, np.uint8)
+    padded[:n] = data
+    words = np.zeros(n + 1, np.uint64)
+    for k in range(8):
+        words = (words << np.uint64(8)) | padded[k : k + n + 1]
     out = np.zeros(n, np.int32)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    lanes = np.arange(len(firsts))
-    shared = np.zeros(len(firsts), np.int64)
-    for step in range(int(sizes.max(initial=0))):
-        lanes = lanes[sizes[lanes] > step]
-        p = firsts[lanes] + step
+    carries = np.zeros(n + 1, bool)  # whether the suffix that begins one byte earlier tells anything
+    carries[1:n] = (place[np.minimum(before[:-1] + 1, n - 1)] <= place[1:]) & (before[1:] >= 0)
+    p, end = firsts[sizes > 0], (firsts + sizes)[sizes > 0]
+    shared = np.zeros(len(p), np.int64)
+    while len(p):
         q = before[p]
-        h = np.where(q >= 0, np.maximum(shared[lanes] - 1, 0), 0)
-        if step:
-            after = np.minimum(before[p - 1] + 1, n - 1)  # of a suffix without a neighbour nothing is carried over
-            h[place[after] > place[p]] = 0
-        live = np.flatnonzero((q >= 0) & (h < limit))
-        while len(live):
-            a, b = p[live] + h[live], q[live] + h[live]
-            same = (words[a] == words[b]).astype(np.int8)
-            run = np.where(same.all(axis=1), 8, same.argmin(axis=1))
-            run = np.minimum(run, np.minimum(n - np.maximum(a, b), limit - h[live]))
-            h[live] += run
-            live = live[(run == 8) & (h[live] < limit)]
-        shared[lanes] = h
-        out[place[p]] = h
+        a, b = p + shared, q + shared
+        run = 8 - np.searchsorted(_BYTES, words[a] ^ words[b], side="right")
+        run = np.minimum(run, np.minimum(n - np.maximum(a, b), limit - shared))
+        run[q < 0] = 0
+        shared += run
+        done = (run < 8) | (shared >= limit)
+        out[place[p[done]]] = shared[done]
+        p = p + done
+        shared = np.where(done, np.where(carries[p], np.maximum(shared - 1, 0), 0), shared)
+        if (live := p < end).sum() < len(p):
+            p, end, shared = p[live], end[live], shared[live]
     return out
 
 
@@ -179,7 +234,7 @@ class Shard:
         self.firsts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
         self.raw = b"".join(pieces)
         self.data = np.frombuffer(self.raw, np.uint8)
-        self.order, self.place = suffix_array(self.data, length)
+        self.order, self.place = suffix_array(self.data, len(self.data))  # to the end: where the order is open prefixes are counted from 0
         prefixes = common_prefixes(self.data, self.order, self.place, self.firsts, self.sizes, length)
         self.run = np.cumsum(prefixes < length)  # suffixes that share ``length`` bytes have the same number
         whole = np.zeros(len(self.data), bool)  # starts from which ``length`` bytes lie in one piece
@@ -223,48 +278,90 @@ def _ranges(starts: np.ndarray) -> list[tuple[int, int]]:
 
 # ---- over tables
 
-def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
-    """``(anchor, key, n)``: how often a text has an anchor."""
+def _anchor_rows(docs: DataFrame, length: int, passage: int) -> DataFrame:
+    """``(anchor, key, n)``: how often a text has an anchor of bytes, 1 for anchors of words; ``n`` of a null anchor counts the text's words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, keys, counts = [], [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                _, _, h = anchors(np.frombuffer(text.encode(), np.uint8), length)
+            hashes, keys, counts, sizes = [], [], [], []
+            names = batch.column(0).to_pylist()
+            for key, text in zip(names, batch.column(1).to_pylist()):
+                data = np.frombuffer(text.encode(), np.uint8)
+                sums = _byte_sums(data)
+                words = word_hashes(data, sums)
+                sizes.append(len(words))
+                _, _, h = anchors(data, length, sums=sums)
                 own, n = np.unique(h, return_counts=True)
-                hashes.append(own)
-                keys.append(np.full(len(own), key, np.int64))
-                counts.append(n)
+                said = np.unique(word_anchors(words, passage)[2])
+                hashes += [own, said]
+                keys.append(np.full(len(own) + len(said), key, np.int64))
+                counts += [n, np.ones(len(said), n.dtype)]
             if hashes:
+                anchor = pa.chunked_array([pa.array(np.concatenate(hashes).view(np.int64)), pa.nulls(len(sizes), pa.int64())]).combine_chunks()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(counts).astype(np.int32))],
+                    [anchor, pa.array(np.concatenate([*keys, names]), pa.int64()), pa.array(np.concatenate([*counts, sizes]).astype(np.int32))],
                     ["anchor", "key", "n"])
 
     return docs.mapInArrow(run, "anchor long, key long, n int")
 
 
-def _piece_rows(texts: DataFrame, length: int) -> DataFrame:
-    """``(anchor, digest, sha, first, data)`` for each of a text's ``hashes``; ``first`` is where the piece begins in the text."""
+def _piece_rows(texts: DataFrame, length: int, passage: int) -> DataFrame:
+    """``(anchor, digest, t, first, data, windows)`` for each of a text's ``hashes``; ``first`` is where the piece begins in the text.
+
+    Pieces of bytes have ``data``. Pieces of words have the hashes of all their stretches of ``passage`` words instead, and count in words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = {"anchor": [], "digest": [], "sha": [], "first": [], "data": []}
-            for sha, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            rows = {"anchor": [], "digest": [], "t": [], "first": [], "data": [], "windows": []}
+
+            def add(*values) -> None:
+                for column, value in zip(rows.values(), values):
+                    column.append(value)
+
+            for t, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 raw = text.encode()
-                first, last, h = anchors(np.frombuffer(raw, np.uint8), length)
+                data = np.frombuffer(raw, np.uint8)
+                sums, asked = _byte_sums(data), np.array(wanted, np.int64)
+                first, last, h = anchors(data, length, sums=sums)
+                h = h.view(np.int64)
+                for k in np.flatnonzero(np.isin(h, asked)).tolist():
+                    piece = raw[first[k] : last[k] + length]
+                    add(int(h[k]), hashlib.blake2b(piece, digest_size=16).digest(), t, int(first[k]), piece, None)
+                words = word_hashes(data, sums)
+                word_sums = _sums(words)
+                first, last, h = word_anchors(words, passage, sums=word_sums)
                 h = h.view(np.int64)
-                for k in np.flatnonzero(np.isin(h, np.array(wanted, np.int64))).tolist():
-                    data = raw[first[k] : last[k] + length]
-                    rows["anchor"].append(int(h[k]))
-                    rows["digest"].append(hashlib.blake2b(data, digest_size=16).digest())
-                    rows["sha"].append(sha)
-                    rows["first"].append(int(first[k]))
-                    rows["data"].append(data)
+                if len(at := np.flatnonzero(np.isin(h, asked))):
+                    windows = _sequences(word_sums, passage).view(np.int64)
+                    for k in at.tolist():
+                        piece = windows[first[k] : last[k] + 1]
+                        add(int(h[k]), hashlib.blake2b(piece.tobytes(), digest_size=16, person=b"words").digest(), t, int(first[k]), None, piece)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["anchor"], pa.int64()), pa.array(rows["digest"], pa.binary()), pa.array(rows["sha"], pa.string()),
-                 pa.array(rows["first"], pa.int64()), pa.array(rows["data"], pa.binary())], list(rows))
+                [pa.array(rows["anchor"], pa.int64()), pa.array(rows["digest"], pa.binary()), pa.array(rows["t"], pa.int64()),
+                 pa.array(rows["first"], pa.int64()), pa.array(rows["data"], pa.binary()), pa.array(rows["windows"], pa.list_(pa.int64()))], list(rows))
 
-    return texts.mapInArrow(run, "anchor long, digest binary, sha string, first long, data binary")
+    return texts.mapInArrow(run, "anchor long, digest binary, t long, first long, data binary, windows array<long>")
+
+
+def _span(last: Column) -> Column:
+    """A piece's starts up to ``last`` as its spans."""
+    return F.array(F.struct(F.lit(0).cast("long").alias("a"), last.cast("long").alias("b"))).alias("spans")
+
+
+def _passages(pieces: DataFrame) -> DataFrame:
+    """``(anchor, digest, spans)``: starts in a piece from which a whole passage also stands in another text, of ``pieces(anchor, digest, t, windows)``."""
+    distinct = pieces.groupBy("anchor", "digest").agg(F.first("windows").alias("windows"), F.min("t").alias("low"), F.max("t").alias("high"))
+    only = F.when(F.col("low") == F.col("high"), F.col("low")).alias("t")  # null: in several texts
+    distinct = durable(distinct.select("anchor", "digest", "windows", only), "distinct-passages")
+    shared = distinct.filter("t is null").select("anchor", "digest", _span(F.size("windows") - 1))
+    mixed = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.count("t").alias("open")).filter("n > 1 and open > 0")
+    each = distinct.join(mixed.select("anchor"), "anchor").select("anchor", "digest", "t", F.posexplode("windows").alias("a", "window"))
+    same = Window.partitionBy("anchor", "window")
+    met = (F.count(F.lit(1)).over(same) > F.count("t").over(same)) | (F.min("t").over(same) < F.max("t").over(same))
+    at = F.col("a").cast("long")
+    found = each.withColumn("met", met).filter("met and t is not null").groupBy("anchor", "digest").agg(F.collect_list(F.struct(at.alias("a"), at.alias("b"))).alias("spans"))
+    return shared.unionByName(found)
 
 
 _SPANS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
@@ -336,19 +433,29 @@ def _repeats(pieces: DataFrame, length: int, shard_bytes: int) -> DataFrame:
     return dealt.mapInArrow(run, "anchor long, digest binary, spans array<struct<a:long,b:long>>")
 
 
-def _kept(texts: DataFrame, length: int) -> DataFrame:
-    """``(sha, n_removed, n_spans, kept_sha256, removed)`` from ``texts(sha, text, ranges)``; a range holds the first and last start of repeats."""
+def _runs(ranges: list[tuple[int, int]], length: int) -> list[list[int]]:
+    """What stretches of ``length`` cover that begin within ``ranges`` of first and last starts, as [start, end]."""
+    runs: list[list[int]] = []
+    for a, b in sorted(ranges):
+        if runs and a <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], b + length)
+        else:
+            runs.append([a, b + length])
+    return runs
+
+
+def _kept(texts: DataFrame, length: int, passage: int) -> DataFrame:
+    """``(sha, n_removed, n_spans, kept_sha256, removed, n_passage_words)`` from ``texts(sha, text, ranges)``.
+
+    A range holds the first and last start of repeats, in words or bytes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shas, removed, n_spans, kept, cut = [], [], [], [], []
+            shas, removed, n_spans, kept, cut, passages = [], [], [], [], [], []
             for sha, text, ranges in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                raw, out, at, runs = text.encode(), hashlib.sha256(), 0, []
-                for a, b in sorted((r["a"], r["b"]) for r in ranges):
-                    if runs and a <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], b + length)
-                    else:
-                        runs.append([a, b + length])
+                raw, out, at = text.encode(), hashlib.sha256(), 0
+                runs = _runs([(r["a"], r["b"]) for r in ranges if not r["words"]], length)
                 for a, b in runs:
                     out.update(raw[at:a])
                     at = b
@@ -358,45 +465,61 @@ def _kept(texts: DataFrame, length: int) -> DataFrame:
                 n_spans.append(len(runs))
                 kept.append(out.hexdigest())
                 cut.append(",".join(f"{a}:{b}" for a, b in runs))
+                passages.append(sum(b - a for a, b in _runs([(r["a"], r["b"]) for r in ranges if r["words"]], passage)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shas, pa.string()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.string()), pa.array(cut, pa.string())],
-                ["sha", "n_removed", "n_spans", "kept_sha256", "removed"])
+                [pa.array(shas, pa.string()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.string()), pa.array(cut, pa.string()),
+                 pa.array(passages, pa.int64())], ["sha", "n_removed", "n_spans", "kept_sha256", "removed", "n_passage_words"])
 
-    return texts.mapInArrow(run, "sha string, n_removed long, n_spans long, kept_sha256 string, removed string")
+    return texts.mapInArrow(run, "sha string, n_removed long, n_spans long, kept_sha256 string, removed string, n_passage_words long")
 
 
-def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``(id, n_bytes, n_removed, n_spans, kept_sha256, n_kept, removed)`` of every row; ``removed`` lists start:end in bytes, ends exclusive."""
+def deduplicated(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, shard_bytes: int = SHARD_BYTES, passage: int = PASSAGE
+) -> DataFrame:
+    """``(id, n_bytes, n_removed, n_spans, kept_sha256, n_kept, removed, n_passage_words)`` of every row.
+
+    ``removed`` lists start:end in bytes, ends exclusive. ``n_passage_words`` counts the words that stand in passages
+    of ``passage`` words or more which also stand in another row.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(id).alias("id"), body.alias("text"), F.sha2(body, 256).alias("sha"))
     known = durable(rows.select("id", "sha", F.octet_length("text").cast("long").alias("n_bytes")), "texts")
-    long = rows.filter(F.octet_length("text") >= length)
+    long = rows.filter(F.octet_length("text") >= min(length, 2 * passage - 1))
     # which anchors stand in two texts, or twice in one
-    found = durable(_anchor_rows(long.select(F.xxhash64("sha").alias("key"), "text"), length), "anchor-rows")
-    several = found.groupBy("anchor").agg(F.min("key").alias("a"), F.max("key").alias("b"), F.max("n").alias("n")).filter("a <> b or n > 1")
-    several = durable(several.select("anchor"), "repeated-anchors")
-    own = found.select("anchor", "key").join(several, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("hashes"))
+    found = durable(_anchor_rows(long.select(F.xxhash64("sha").alias("key"), "text"), length, passage), "anchor-rows")
+    same = Window.partitionBy("anchor")
+    seen = found.filter("anchor is not null").select(
+        "anchor", "key", F.min("key").over(same).alias("a"), F.max("key").over(same).alias("b"), F.max("n").over(same).alias("n"))
+    own = seen.filter("a <> b or n > 1").groupBy("key").agg(F.collect_set("anchor").alias("hashes"))
     # each text once, with the anchors to look at
     once = long.groupBy("sha").agg(F.first("text").alias("text"))
-    texts = durable(once.withColumn("key", F.xxhash64("sha")).join(own, "key").select("sha", "text", "hashes"), "candidates")
-    pieces = durable(_piece_rows(texts, length), "pieces")
+    texts = once.withColumn("key", F.xxhash64("sha")).join(own, "key").select(F.monotonically_increasing_id().alias("t"), "sha", "text", "hashes")
+    texts = durable(texts, "candidates")
+    every_piece = durable(_piece_rows(texts.select("t", "text", "hashes"), length, passage), "pieces")
+    pieces = every_piece.filter("data is not null")
     distinct = durable(pieces.groupBy("anchor", "digest").agg(F.first("data").alias("data"), F.count(F.lit(1)).alias("n")), "distinct-pieces")
     repeats = durable(_repeats(distinct, length, shard_bytes), "repeats")
     # a piece that stands in two places is repeated as a whole
-    owners = pieces.select("anchor", "digest", "sha", "first")
-    parts = distinct.filter("n > 1").select("anchor", "digest", F.array(F.struct(
-        F.lit(0).cast("long").alias("a"), (F.length("data") - length).cast("long").alias("b"))).alias("spans"))
-    every = durable(parts.unionByName(repeats.join(parts.select("anchor", "digest"), ["anchor", "digest"], "left_anti")), "spans")
-    placed = owners.join(every, ["anchor", "digest"]).select("sha", F.explode("spans").alias("s"), "first")
-    ranges = placed.groupBy("sha").agg(F.collect_set(F.struct((F.col("first") + F.col("s.a")).alias("a"), (F.col("first") + F.col("s.b")).alias("b"))).alias("ranges"))
-    cut = durable(_kept(texts.select("sha", "text").join(ranges, "sha").select("sha", "text", "ranges"), length), "cut")
-    copies = known.groupBy("sha").count().filter("count > 1").select("sha", F.lit(True).alias("copied"))
-    facts = durable(cut.join(copies, "sha", "full"), "facts")
-    whole = F.coalesce("copied", F.lit(False)) & (F.col("n_bytes") >= length)
+    owners = every_piece.select("digest", "t", "first")
+    parts = distinct.filter("n > 1").select("anchor", "digest", _span(F.length("data") - length))
+    every = parts.unionByName(repeats.join(parts.select("anchor", "digest"), ["anchor", "digest"], "left_anti")).withColumn("words", F.lit(False))
+    said = _passages(every_piece.filter("windows is not null").select("anchor", "digest", "t", "windows"))
+    every = durable(every.unionByName(said.withColumn("words", F.lit(True))), "spans")
+    placed = owners.join(every.drop("anchor"), "digest").select("t", "words", F.explode("spans").alias("s"), "first")
+    start = F.struct("words", (F.col("first") + F.col("s.a")).alias("a"), (F.col("first") + F.col("s.b")).alias("b"))
+    ranges = placed.groupBy("t").agg(F.collect_set(start).alias("ranges"))
+    cut = durable(_kept(texts.select("t", "sha", "text").join(ranges, "t").select("sha", "text", "ranges"), length, passage), "cut")
+    sizes = found.filter("anchor is null").groupBy("key").agg(F.max("n").cast("long").alias("n_words"))
+    copies = known.groupBy("sha").count().filter("count > 1").select("sha", F.xxhash64("sha").alias("key"), F.lit(True).alias("copied"))
+    facts = durable(cut.join(copies.join(sizes, "key", "left").drop("key"), "sha", "full"), "facts")
+    copied = F.coalesce("copied", F.lit(False))
+    whole = copied & (F.col("n_bytes") >= length)
     n_removed = F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0)))
+    n_passage_words = F.when(copied & (F.col("n_words") >= passage), F.col("n_words")).otherwise(F.coalesce("n_passage_words", F.lit(0)))
     return known.join(facts, "sha", "left").select(
         "id", "n_bytes", n_removed.alias("n_removed"),
         F.when(whole, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", F.lit(0))).alias("n_spans"),
         F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
         (F.col("n_bytes") - n_removed).alias("n_kept"),
-        F.when(whole, F.concat(F.lit("0:"), F.col("n_bytes").cast("string"))).otherwise(F.coalesce("removed", F.lit(""))).alias("removed"))
+        F.when(whole, F.concat(F.lit("0:"), F.col("n_bytes").cast("string"))).otherwise(F.coalesce("removed", F.lit(""))).alias("removed"),
+        n_passage_words.alias("n_passage_words"))

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -104,3 +105,51 @@ def test_long_shared_stretches_whose_order_ends_early():
         seen = Counter(p[k : k + 400] for p in pieces for k in range(len(p) - 399))
         want = [f + k for p, f in zip(pieces, shard.firsts.tolist()) for k in range(len(p) - 399) if seen[p[k : k + 400]] > 1]
         assert np.flatnonzero(shard.twice).tolist() == want
+
+
+def passage_words(rows, passage):
+    """Words in stretches of ``passage`` words that another row has too."""
+    split = [re.findall(r"[^\x20\x09-\x0D]+", x or "") for x in rows]
+    windows = [[tuple(w[i : i + passage]) for i in range(len(w) - passage + 1)] for w in split]
+    owners = Counter(x for ws in windows for x in set(ws))
+    out = []
+    for w, ws in zip(split, windows):
+        hit = np.zeros(len(w), bool)
+        for i, x in enumerate(ws):
+            if owners[x] > 1:
+                hit[i : i + passage] = True
+        out.append(int(hit.sum()))
+    return out
+
+
+@pytest.mark.parametrize("passage", [50, 12, 20])
+def test_passages_in_other_documents_are_counted(spark, passage):
+    """Short words too: fifty of them take far less than 400 bytes. White space differs; repeats inside one document don't count."""
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abü") for _ in range(r.randint(1, 3)))
+    said = lambda n: [word() for _ in range(n)]
+    shared = [said(n) for n in (49, 50, 51, 64, 130)]
+    data = [(24, " ".join(["x"] * 300), "en", "s"), (25, "y " * 49 + "y\n" + "y " * 60, "en", "s")]
+    data += [(30 + i, " ".join(said(200)), "en", "s") for i in (0, 1) for _ in range(1 + i)]  # the latter is a whole copy
+    for k in range(40):
+        ws = said(r.randint(0, 60)) + r.choice(shared) + said(r.randint(0, 60)) + r.choice(shared)[: r.randint(30, 60)]
+        data.append((100 + k, r.choice([" ", "\n", "\t "]).join(ws), "en", "s"))
+    once = said(70)
+    data += [(200, " ".join(once + ["-"] + once), "en", "s"), (201, None, "en", "s"), (202, "", "en", "s"), *rows()]
+    data += [(300, "of " * 55, "en", "s"), (301, "of " * 55, "en", "s")]  # a copy below 400 bytes
+    got = suffixes.deduplicated(documents(spark, data), passage=passage).collect()
+    want = passage_words([t for _, t, *_ in data], passage)
+    assert sorted((str(i), w) for (i, *_), w in zip(data, want)) == sorted((str(r.id), r.n_passage_words) for r in got)
+    assert any(r.n_passage_words and not r.n_removed for r in got)
+    assert sorted((str(i), *w) for (i, *_), w in zip(data, brute([(t or "").encode() for _, t, *_ in data], 400))) == sorted((str(r.id), *tuple(r)[1:5]) for r in got)
+
+
+def test_prefixes_take_few_rounds(monkeypatch):
+    """Near copies share more than the limit; where their order was open each start was counted from 0 again."""
+    r = random.Random(3)
+    base = bytes(r.choice(b"abcdefgh ") for _ in range(640))
+    pieces = [base[:k] + b"#%d" % k + base[k:] for k in range(3, 60, 3)]
+    calls, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **k: calls.append(1) or search(*a, **k))
+    suffixes.Shard(pieces, 400)
+    assert 0 < len(calls) < 2 * 643
