@@ -154,3 +154,49 @@ def test_batches_exchange_no_token_rows(spark, sources):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("Join"):]  # what joins and windows handle
     assert "AS input_ids" in plan and "AS input_ids" not in below and "AS labels" not in below
+
+
+def exchanged(df):
+    """Runs ``df``; bytes of the rows that its exchanges wrote, before compression."""
+    df.collect()
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if name == "ReusedExchangeExec":
+            return 0
+        own = node.metrics().apply("dataSize").value() if name == "ShuffleExchangeExec" else 0
+        return own + sum(walk(node.children().apply(i)) for i in range(node.children().size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.fixture(scope="module")
+def long_blocks(spark):
+    rows = [(m, o, "assistant" if o % 2 else "user", f"{m}.{o} é" * 150) for m in range(12) for o in range(10)]
+    return spark.createDataFrame(rows, "mega_id long, ord long, role string, content string").cache()
+
+
+def test_a_message_is_exchanged_twice_as_bytes(spark, long_blocks):
+    text = long_blocks.agg(F.sum(F.octet_length("content"))).first()[0]
+    assert exchanged(examples.encode_examples(long_blocks, T, 700, 3)) < 3 * text
+
+
+def test_batches_exchange_each_message_twice_as_bytes(spark, long_blocks):
+    text = long_blocks.agg(F.sum(F.octet_length("content"))).first()[0]
+    assert exchanged(examples.encode_batches(long_blocks, T, 700, 4, 0, 3)) < 3 * text
+
+
+@pytest.mark.parametrize("max_len", [3, 700, 40_000])
+def test_rows_that_begin_on_an_earlier_sheet(spark, max_len):
+    rows = [(m, o, "assistant" if o % 3 else "user", f"{m}.{o} é日" * (9_000 if o == 4 else 70 * o + m)) for m in range(2) for o in range(40)]
+    rows += [(7, 0, "assistant", ""), (7, 1, None, "x"), (7, 2, "assistant", None), (7, 3, "assistant", "y")]
+    flat = spark.createDataFrame(rows, "mega_id long, ord long, role string, content string")
+    whole = [r for r in rows if r[2] is not None and r[3] is not None]
+    for encoder in (examples.utf8_encoder, examples.python_encoder(lambda t: list(t.encode()))):
+        given = flat if encoder is examples.utf8_encoder else flat.dropna()  # a tokenizer is not asked for nulls
+        have = {(r.mega_id, r.ord): (r.input_ids, r.labels, r.n_full) for r in examples.encode_examples(given, T, max_len, 3, encoder, block_rows=16).collect()}
+        assert have == naive_rows(whole, max_len, 3)
