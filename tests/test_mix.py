@@ -200,3 +200,31 @@ def test_rows_that_begin_on_an_earlier_sheet(spark, max_len):
         given = flat if encoder is examples.utf8_encoder else flat.dropna()  # a tokenizer is not asked for nulls
         have = {(r.mega_id, r.ord): (r.input_ids, r.labels, r.n_full) for r in examples.encode_examples(given, T, max_len, 3, encoder, block_rows=16).collect()}
         assert have == naive_rows(whole, max_len, 3)
+
+
+def test_texts_of_conversations_that_are_not_drawn_are_not_exchanged(spark):
+    rows = [("personality", f"p{c}", 0, "assistant", f"text {c} " * 200) for c in range(300)] + [("external", f"e{c}", t, "assistant", "x") for c in range(40) for t in (3, 5)]
+    messages = spark.createDataFrame(rows, "source string, conv_key string, turn long, role string, content string").cache()
+    sources = prepare.combine(prepare.from_turns(messages.filter("source = 'external'")), prepare.from_turns(messages.filter("source = 'personality'")))
+    flat = prepare.build_megachats(sources, Settings(target_megachats=5, mega_size=8))
+    drawn = flat.filter("length(content) > 9").count()
+    assert drawn == 4 and exchanged(flat) < 100 * 2_000
+    dense = prepare.Sources(sources.keys, sources.messages)
+    assert sorted(flat.collect()) == sorted(prepare.build_megachats(dense, Settings(target_megachats=5, mega_size=8)).collect())
+
+
+def test_the_pool_filter_keeps_every_drawn_conversation(spark):
+    pool = spark.range(5_000).select(F.lit("s").alias("source"), F.concat(F.lit("k"), F.col("id") * 7).alias("conv_key"))
+    messages = spark.range(35_000).select(F.lit("s").alias("source"), F.concat(F.lit("k"), F.col("id")).alias("conv_key"), F.col("id").alias("turn"))
+    for at_most in (5_000, 1):  # the second one has too few bits
+        kept = mix.pool_filter(pool, at_most)(messages)
+        assert kept.columns == messages.columns and kept.join(pool, ["source", "conv_key"]).count() == 5_000
+    assert mix.pool_filter(pool, 5_000)(messages).count() < 8_000
+
+
+def test_draws_are_not_broadcast(spark, sources):
+    keys = sources.keys.cache()
+    drawn = mix.oversample(keys, mix.mix_quota(mix.source_sizes(keys), 20, 8), 1)
+    assert drawn.count() == 32 + 112
+    assert "BroadcastHashJoin [source" in (text := drawn._jdf.queryExecution().executedPlan().toString())  # of quotas
+    assert not [line for line in text.splitlines() if "BroadcastHashJoin" in line and "slot" in line]
