@@ -222,6 +222,20 @@ def test_the_pool_filter_keeps_every_drawn_conversation(spark):
     assert mix.pool_filter(pool, 5_000)(messages).count() < 8_000
 
 
+def test_prepared_rows_write_each_block_once(spark, sources, monkeypatch):
+    written, write = [], prepare.durable
+
+    def noted(df, label="step", *more):
+        written.append(label)
+        return write(df, label, *more)
+
+    for module in (prepare, examples):
+        monkeypatch.setattr(module, "durable", noted)
+    settings = Settings(target_megachats=2, mega_size=3, system_prompt="S", max_seq_len=64)
+    assert prepare.prepare_dataset(sources, settings).count()
+    assert [x for x in written if x in ("blocks", "encoded")] == ["encoded"]
+
+
 def test_draws_are_not_broadcast(spark, sources):
     keys = sources.keys.cache()
     drawn = mix.oversample(keys, mix.mix_quota(mix.source_sizes(keys), 20, 8), 1)
